@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakemodels.operators.quantile import exact_quantile
 from lakemodels.operators.relational import col
 from lakemodels.operators.windows import top_per_group
-from lakemodels.sources.workspace import fresh_dir
+from lakemodels.sources.workspace import fresh_dir, ship_package
 
 _NODES = "tree int, node int, feature int, threshold double, depth double"
 _UNIT = float(2**53)
@@ -82,6 +82,7 @@ def grow_forest(
 
     The children of node i are 2i + 1 and 2i + 2.
     """
+    ship_package(df.sparkSession)
     names = list(features)
     slim = df.select(
         col(id_column), *[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(f"f{i}") for i, c in enumerate(names)]

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
+from operator import itemgetter
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
@@ -50,12 +52,13 @@ def fit_centroids(
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembled)
     scaled = scaler.transform(assembled).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best, best_cost = None, None
-        for attempt in range(restarts):
+        # Runs are independent: a few at a time keep the executors busy.
+        def run(attempt: int):
             model = KMeans(k=k, seed=seed + attempt, maxIter=max_iter).fit(scaled)
-            cost = model.summary.trainingCost
-            if best is None or cost < best_cost:
-                best, best_cost = model, cost
+            return model.summary.trainingCost, attempt, model
+
+        with ThreadPool(min(4, restarts)) as pool:
+            best = min(pool.map(inheritable_thread_target(scaled.sparkSession)(run), range(restarts)), key=itemgetter(0, 1))[2]
     finally:
         scaled.unpersist()
     mean, deviation = scaler.mean.toArray(), scaler.std.toArray()

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lakemodels.sources.workspace import ship_package
+
 BACKENDS = ("pandas", "arrow")
 
 
@@ -36,6 +38,7 @@ def map_batches(
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     names = schema.fieldNames()
+    ship_package(df.sparkSession)
 
     if backend == "pandas":
 

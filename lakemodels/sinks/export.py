@@ -18,7 +18,6 @@ def export_text(
     Returns the null token; a reader passes it as ``nullValue``.
     """
     token = null_token or f"__null_{uuid.uuid4().hex}__"
-    encode_frame(df, database_types).write.option("nullValue", token).option("emptyValue", "").option(
-        "escape", '"'
-    ).csv(path)
+    # An empty text is written as "", a null as the bare token.
+    encode_frame(df, database_types).write.option("nullValue", token).option("escape", '"').csv(path)
     return token

@@ -6,12 +6,15 @@ session (tests) falls back to a temporary folder of its own.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,3 +59,19 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="lakemodels-"), "lakemodels"),
+        "zip",
+        root_dir=os.path.dirname(package),
+        base_dir=os.path.basename(package),
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
