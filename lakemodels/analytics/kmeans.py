@@ -57,7 +57,7 @@ def fit_centroids(
             model = KMeans(k=k, seed=seed + attempt, maxIter=max_iter).fit(scaled)
             return model.summary.trainingCost, attempt, model
 
-        with ThreadPool(min(4, restarts)) as pool:
+        with ThreadPool(min(8, restarts)) as pool:
             best = min(pool.map(inheritable_thread_target(scaled.sparkSession)(run), range(restarts)), key=itemgetter(0, 1))[2]
     finally:
         scaled.unpersist()

@@ -99,8 +99,8 @@ def infer_decimals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def verdict(name: str) -> list[Column]:
         text = F.trim(col(name).cast("string"))
         plain = text.rlike(TEXT_PATTERNS["numeric"])
-        digits = F.regexp_replace(text, r"^[+-]", "")
-        whole = F.length(F.regexp_replace(F.substring_index(digits, ".", 1), r"^0+", ""))
+        digits = F.ltrim(text, F.lit("+-"))
+        whole = F.length(F.ltrim(F.substring_index(digits, ".", 1), F.lit("0")))
         fraction = F.when(F.contains(digits, F.lit(".")), F.length(F.substring_index(digits, ".", -1))).otherwise(0)
         most_whole, most_fraction = F.max(whole), F.max(fraction)
         precision = F.greatest(most_whole + most_fraction, F.lit(1))

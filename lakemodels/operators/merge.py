@@ -7,6 +7,7 @@ batch overwrites the target's value.
 Scale notes
 * The batch is reduced to one row per key by an aggregate, which combines
   before the shuffle, so many copies of one key cost one row per map task.
+* Rows without a key skip every shuffle.
 * The target is always the left side of its join, the side AQE may split when
   one key holds a large share of its rows.
 * Inserted rows are found with the *matched* keys, a subset of the batch's
@@ -16,13 +17,12 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemodels.operators.relational import anti_join, col, quoted
+from lakemodels.operators.relational import anti_join, col, quoted, split_null_keys, union_all
 
 _NEW = "__lm_new"
 _FIRST = "__lm_first"
@@ -54,18 +54,20 @@ def merge_frames(
         hit = F.coalesce(F.expr(predicate), F.lit(False))
         untouched, target = target.where(~hit), target.where(hit)
 
+    # Rows with a null key never meet another row: they pass by the joins without a shuffle.
+    keyed, keyless = split_null_keys(target, keys)
+    rows, new_keyless = split_null_keys(rows, keys)
+
     payload = [c for c in target.columns if c not in keys]
     winners = _winners(rows, keys, payload, order_by or [], batch_column)
-    matched = target.select(*map(col, keys)).join(
-        winners.select(*map(col, keys)), on=list(keys), how="left_semi"
-    )
+    matched = keyed.select(*map(col, keys)).join(winners.select(*map(col, keys)), on=list(keys), how="left_semi")
     inserts = anti_join(rows, matched, keys)
     if batch_column:
         inserts = _fold_inserts(inserts, winners, keys, payload, batch_column)
-    inserts = inserts.select(*map(col, target.columns))
 
-    updated = _update(target, winners, keys, payload) if payload else target
-    result = updated.unionByName(inserts)
+    updated = _update(keyed, winners, keys, payload) if payload else keyed
+    stored = [col(c) for c in target.columns]
+    result = union_all(updated, inserts.select(*stored), keyless, new_keyless.select(*stored))
     return result if untouched is None else untouched.unionByName(result)
 
 
@@ -83,18 +85,20 @@ def delete_insert_frames(
     """
     keys = checked_keys(keys, target.columns)
     rows = align_to(batch, target, [batch_column] if batch_column and batch_column not in target.columns else [])
+    rows, new_keyless = split_null_keys(rows, keys)
     if batch_column:
         last = rows.groupBy(*map(col, keys)).agg(F.max(col(batch_column)).alias(_LAST))
-        rows = (
-            rows.join(last, on=list(keys), how="left")
-            .where(F.col(_LAST).isNull() | (col(batch_column) == F.col(_LAST)))
-            .drop(_LAST)
-        )
-    survivors = anti_join(target, rows, keys)
+        rows = rows.join(last, on=list(keys)).where(col(batch_column) == F.col(_LAST)).drop(_LAST)
+
+    kept = []
     if predicate:
         hit = F.coalesce(F.expr(predicate), F.lit(False))
-        survivors = target.where(~hit).unionByName(anti_join(target.where(hit), rows, keys))
-    return survivors.unionByName(rows.select(*map(col, target.columns)))
+        kept, target = [target.where(~hit)], target.where(hit)
+    keyed, keyless = split_null_keys(target, keys)
+    stored = [col(c) for c in target.columns]
+    return union_all(
+        anti_join(keyed, rows, keys), keyless, rows.select(*stored), new_keyless.select(*stored), *kept
+    )
 
 
 def append_frames(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -187,17 +191,22 @@ def checked_keys(unique_key, columns: Sequence[str]) -> list[str]:
 
 
 def _winners(rows, keys, payload, order_by, batch_column) -> DataFrame:
-    """One row per non-null key: the packed values of the row that updates the target."""
-    not_null = reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys])
-    ranked = [c for c in [batch_column, *order_by] if c]
-    sortable = {f.name for f in rows.schema.fields if _orderable(f.dataType)}
-    rank = [col(c) for c in dict.fromkeys([*ranked, *payload]) if c in sortable]
-    packed = F.struct(*[col(c) for c in payload]) if payload else F.struct(F.lit(True).alias("hit"))
-    winner = F.max_by(packed, F.struct(*rank)) if rank else F.first(packed)
+    """One row per key: the packed values of the row that updates the target."""
+    ranked = list(dict.fromkeys([c for c in [batch_column, *order_by] if c] + payload))
+    sortable = [f.name for f in rows.schema.fields if f.name in ranked and _orderable(f.dataType)]
+    rank = F.struct(*[col(c) for c in ranked if c in sortable])
+    if not payload:
+        winner = F.first(F.struct(F.lit(True).alias("hit")))
+    elif len(sortable) == len(ranked):
+        winner = F.max(rank)
+    elif sortable:
+        winner = F.max_by(F.struct(*[col(c) for c in payload]), rank)
+    else:
+        raise ValueError("These columns have no order; name one in order_by that decides between batch rows")
     aggregates = [winner.alias(_NEW)]
     if batch_column:
         aggregates += [F.min(col(batch_column)).alias(_FIRST), F.max(col(batch_column)).alias(_LAST)]
-    return rows.where(not_null).groupBy(*map(col, keys)).agg(*aggregates)
+    return rows.groupBy(*map(col, keys)).agg(*aggregates)
 
 
 def _update(target: DataFrame, winners: DataFrame, keys, payload) -> DataFrame:
@@ -214,9 +223,7 @@ def _update(target: DataFrame, winners: DataFrame, keys, payload) -> DataFrame:
 
 def _fold_inserts(inserts, winners, keys, payload, batch_column) -> DataFrame:
     """New keys under several batches: the first batch inserts, later ones update those rows."""
-    joined = inserts.join(winners, on=list(keys), how="left").where(
-        F.col(_FIRST).isNull() | (col(batch_column) == F.col(_FIRST))
-    )
+    joined = inserts.join(winners, on=list(keys)).where(col(batch_column) == F.col(_FIRST))
     later = F.col(_LAST) > F.col(_FIRST)
     return joined.select(
         *map(col, keys),

@@ -7,6 +7,7 @@ the physical join remain Catalyst's.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,8 +56,8 @@ def join_using(
 
     AQE splits a hot key on either side of an inner join and on the preserved
     side of a left or right join. It can split neither side of a full join, so
-    that one runs as an inner join plus two anti joins against distinct keys
-    (the anti joins read the same shuffled sides again). ``split_outer`` asks
+    that one runs as an inner join plus two anti joins against distinct keys;
+    rows with a null key skip the joins. ``split_outer`` asks
     for the same plan for a left or right join whose *other* side has hot keys
     and is too large to be broadcast.
     """
@@ -126,17 +127,26 @@ def _outer_by_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: st
     if set(left_rest) & set(right_rest):
         # Ambiguous names cannot be lined up by name; the writer rejects them anyway.
         return left.join(right, on=keys, how=kind)
-    parts = [left.join(right, on=keys, how="inner")]
+    # The not-null filter makes each side's exchange the same in both joins, so Spark shuffles it once.
+    left_keyed, left_keyless = split_null_keys(left, keys)
+    right_keyed, right_keyless = split_null_keys(right, keys)
+    parts = [left_keyed.join(right_keyed, on=keys, how="inner")]
     if kind in ("left", "full"):
-        parts.append(anti_join(left, right, keys))
+        parts += [anti_join(left_keyed, right_keyed, keys), left_keyless]
     if kind in ("right", "full"):
-        parts.append(anti_join(right, left, keys))
+        parts += [anti_join(right_keyed, left_keyed, keys), right_keyless]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part, allowMissingColumns=True)
     return result
 
 
+def split_null_keys(df: DataFrame, keys: Iterable[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with all keys present, and rows with a null among them (a filter the scan can prune by)."""
+    missing = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
+    return df.where(~missing), df.where(missing)
+
+
 def _sql_text(text: str, what: str) -> str:
     stripped = str(text or "").strip()
     if not stripped:

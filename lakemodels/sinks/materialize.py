@@ -42,6 +42,7 @@ from lakemodels.sources.workspace import fresh_dir, remove_dir
 STRATEGIES = ("append", "merge", "delete+insert")
 SCHEMA_MODES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
 _BACKING = "lakemodels.backing"
+_LISTED_PARTITIONS = 5_000
 
 # Text for columns of these types is parsed by the encoders' rules, not by a plain cast.
 _PARSED_ON_LOAD = {"variant": "jsonb", "boolean": "boolean"}
@@ -178,46 +179,72 @@ def write_incremental(
 
     # The batch feeds several branches of the plan: fix its rows once.
     staged = fresh_dir(spark, "batch")
-    rows = _observed(batch, lambda frame: frame.write.parquet(staged))
-    if rows == 0:
-        return Written(name, 0)
-    batch = spark.read.parquet(staged)
+    try:
+        rows = _observed(batch, lambda frame: frame.write.parquet(staged))
+        if rows:
+            settings = _Change(
+                name, strategy, keys, missing, new, helpers, order_by, predicate, batch_column, widen, properties or {}
+            )
+            _apply_batch(spark.read.parquet(staged), target, settings)
+    finally:
+        remove_dir(spark, staged)
+    return Written(name, rows)
+
+
+@dataclass(frozen=True)
+class _Change:
+    """One checked batch application."""
 
+    name: str
+    strategy: str
+    keys: list[str] | None
+    missing: list[str]
+    new: list[str]
+    helpers: list[str]
+    order_by: Sequence[str] | None
+    predicate: str | None
+    batch_column: str | None
+    widen: bool
+    properties: Mapping[str, str]
+
+
+def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
+    """Publish target + staged batch, in place where only some partitions change."""
+    spark, name, keys = batch.sparkSession, change.name, change.keys
     stored_by = _partitions(spark, name)
     narrow, kinds = target.schema, {f.name: f.dataType for f in batch.schema.fields}
-    if widen:
+    if change.widen:
         target, batch = widen_pair(target, batch)
-    rebuild = bool(missing) or target.schema != narrow or (strategy != "append" and not (
-        stored_by and set(stored_by) <= set(keys) and not (properties and _has_null_keys(batch, keys))
-    ))
-    if not rebuild:
-        if new:
-            added = ", ".join(f"{table_name(c)} {kinds[c].simpleString()}" for c in new)
-            spark.sql(f"ALTER TABLE {_sql(name)} ADD COLUMNS ({added})")
-            target = spark.table(name)
-    else:
-        target = target.drop(*missing).withColumns({c: F.lit(None).cast(kinds[c]) for c in new})
 
-    if strategy == "append":
-        batch = batch.drop(*helpers)
-        if rebuild:
-            _publish(append_frames(target, batch), name, stored_by, _own_properties(spark, name) | (properties or {}))
-        else:
-            _append(batch, name)
-        return Written(name, rows)
+    by_partition = change.strategy == "append" or (
+        bool(stored_by)
+        and set(stored_by) <= set(keys)
+        # A batch number is stored after the partitions: only null keys would be inserted twice by a repeat.
+        and not (change.properties and _has_null_keys(batch, keys))
+    )
+    rebuild = bool(change.missing) or target.schema != narrow or not by_partition
+    if rebuild:
+        target = target.drop(*change.missing).withColumns({c: F.lit(None).cast(kinds[c]) for c in change.new})
+    elif change.new:
+        added = ", ".join(f"{table_name(c)} {kinds[c].simpleString()}" for c in change.new)
+        spark.sql(f"ALTER TABLE {_sql(name)} ADD COLUMNS ({added})")
+        target = spark.table(name)
 
     def applied(existing: DataFrame) -> DataFrame:
-        if strategy == "merge":
-            return merge_frames(existing, batch, keys, order_by, predicate, batch_column)
-        unneeded = [c for c in helpers if c != batch_column]
-        return delete_insert_frames(existing, batch.drop(*unneeded), keys, predicate, batch_column)
+        if change.strategy == "append":
+            return append_frames(existing, batch.drop(*change.helpers))
+        if change.strategy == "merge":
+            return merge_frames(existing, batch, keys, change.order_by, change.predicate, change.batch_column)
+        unneeded = [c for c in change.helpers if c != change.batch_column]
+        return delete_insert_frames(existing, batch.drop(*unneeded), keys, change.predicate, change.batch_column)
 
     if rebuild:
-        _publish(applied(target), name, stored_by, _own_properties(spark, name) | (properties or {}))
+        _publish(applied(target), name, stored_by, {**_own_properties(spark, name), **change.properties})
+    elif change.strategy == "append":
+        _append(batch.drop(*change.helpers), name)
     else:
         _rewrite_partitions(applied(_touched(target, batch, stored_by)), name)
-        _set_properties(spark, name, properties or {})
-    return Written(name, rows)
+        _set_properties(spark, name, change.properties)
 
 
 def prepared(df: DataFrame, column_types=None, category_types=None) -> DataFrame:
@@ -360,13 +387,22 @@ def _any_null(columns: Sequence[str]):
 
 
 def _touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows in partitions the batch writes to; the semi join prunes partitions at run time.
+    """Target rows in partitions the batch writes to.
 
-    A null partition value never matches a key, but its partition is rewritten
+    The batch's partition values become literals, so the scan reads no other
+    partition. Past a bound on their number a semi join stands in for them. A
+    null partition value never matches a key, but its partition is rewritten
     when the batch has null rows, so its rows must be carried over.
     """
     values = batch.select(*[col(c).cast(target.schema[c].dataType).alias(c) for c in partition_by]).distinct()
-    hit = target.join(values, on=list(partition_by), how="left_semi")
+    values = values.where(~_any_null(partition_by))
+    listed = values.limit(_LISTED_PARTITIONS + 1).collect()
+    hit = target
+    if len(listed) <= _LISTED_PARTITIONS:
+        for c in partition_by:
+            hit = hit.where(col(c).isin(sorted({row[c] for row in listed})))
+    if len(listed) > _LISTED_PARTITIONS or len(partition_by) > 1:
+        hit = hit.join(values, on=list(partition_by), how="left_semi")
     if _has_null_keys(batch, partition_by):
         hit = hit.unionByName(target.where(_any_null(partition_by)))
     return hit

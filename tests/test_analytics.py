@@ -62,6 +62,12 @@ def test_neighbours_equal_brute_force(spark, seed, size, words):
     assert close(neighbours(spark, texts, 3), brute_force_neighbours(texts, 3))
 
 
+def test_split_postings_give_the_same_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "_TEXTS_PER_SHARE", 4)
+    texts = [(i, f"common word{i % 7} word{i % 5}") for i in range(40)]
+    assert close(neighbours(spark, texts, 3, max_df=1.0), brute_force_neighbours(texts, 3, max_df=1.0))
+
+
 def test_a_third_of_all_texts_are_one_copy(spark):
     texts = [(i, "same old words here") for i in range(30)] + [(100 + i, f"other number{i} words") for i in range(60)]
     found = neighbours(spark, texts, 2)
