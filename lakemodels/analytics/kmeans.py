@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemodels.operators.relational import col
+from lakemodels.sources.workspace import fresh_dir, remove_dir
 
 
 def kmeans_clusters(
@@ -46,8 +47,11 @@ def fit_centroids(
 
     Only k centers and two vectors of statistics reach the driver.
     """
+    # Every run passes over the features many times: store them once, in as few files as their size asks for.
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, "features")
+    df.select(*[col(c).cast("double").alias(c) for c in features]).write.parquet(path)
     assembled = VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="skip").transform(
-        df.select(*[col(c).cast("double").alias(c) for c in features])
+        spark.read.parquet(path)
     )
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembled)
     scaled = scaler.transform(assembled).select("features").persist(StorageLevel.MEMORY_AND_DISK)
@@ -58,9 +62,10 @@ def fit_centroids(
             return model.summary.trainingCost, attempt, model
 
         with ThreadPool(min(8, restarts)) as pool:
-            best = min(pool.map(inheritable_thread_target(scaled.sparkSession)(run), range(restarts)), key=itemgetter(0, 1))[2]
+            best = min(pool.map(inheritable_thread_target(spark)(run), range(restarts)), key=itemgetter(0, 1))[2]
     finally:
         scaled.unpersist()
+        remove_dir(spark, path)
     mean, deviation = scaler.mean.toArray(), scaler.std.toArray()
     centers = sorted(
         ([float(v) for v in center * deviation + mean], [float(v) for v in center])

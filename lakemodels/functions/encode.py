@@ -1,6 +1,6 @@
 """Value encoders as native column expressions: JSON, binary, boolean, array and timestamp text.
 
-They produce the text forms a Postgres-style bulk load reads. Nothing here
+They produce the text forms a bulk load into a database reads. Nothing here
 leaves the JVM.
 """
 

@@ -63,6 +63,8 @@ def join_using(
     """
     if not isinstance(right, DataFrame):
         raise TypeError("join_using expects a DataFrame as its right side")
+    if left.sparkSession.sparkContext is not right.sparkSession.sparkContext:
+        raise ValueError("Both sides of a join must belong to one Spark application")
     kind = _JOIN_TYPES.get(str(how or "").strip().lower())
     if kind is None:
         raise ValueError(f"Unknown join type {how!r}; expected one of {sorted(_JOIN_TYPES)}")

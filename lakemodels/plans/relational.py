@@ -40,7 +40,7 @@ def volume_gate(spark, folder):
 
 
 @plan("""
-    SELECT o_orderkey AS order_id, CAST(o_orderdate AS VARCHAR)[1:10] AS ordered_on,
+    SELECT o_orderkey AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS ordered_on,
            CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS amount
     FROM orders
 """)
@@ -177,7 +177,10 @@ def _customers(spark, folder):
     return project(read(spark, folder, "customer"), "c_custkey AS custkey, c_name, c_acctbal")
 
 
-@plan("SELECT c_custkey AS custkey, o_orderkey, o_totalprice, c_name, c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey")
+@plan("""
+    SELECT c_custkey AS custkey, o_orderkey, o_totalprice, c_name, c_acctbal
+    FROM orders JOIN customer ON o_custkey = c_custkey
+""")
 def join_inner(spark, folder):
     return join_using(_orders(spark, folder), _customers(spark, folder), "custkey")
 
@@ -233,12 +236,18 @@ def join_multi_key(spark, folder):
     return join_using(lines, pairs, ["l_partkey", "l_suppkey"])
 
 
-@plan("SELECT c_custkey AS custkey, c_name, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)", name="anti_join")
+@plan("""
+    SELECT c_custkey AS custkey, c_name, c_acctbal FROM customer
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+""", name="anti_join")
 def customers_without_large_order(spark, folder):
     return anti_join(_customers(spark, folder), keep(_orders(spark, folder), "o_totalprice > 300000"), "custkey")
 
 
-@plan("SELECT c_custkey AS custkey, c_name, c_acctbal FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)", name="semi_join")
+@plan("""
+    SELECT c_custkey AS custkey, c_name, c_acctbal FROM customer
+    WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+""", name="semi_join")
 def customers_with_large_order(spark, folder):
     return semi_join(_customers(spark, folder), keep(_orders(spark, folder), "o_totalprice > 300000"), "custkey")
 

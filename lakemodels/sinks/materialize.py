@@ -312,6 +312,7 @@ def _publish(df: DataFrame, name: str, partition_by: Sequence[str], properties:
 def _save(df: DataFrame, name: str, partition_by: Sequence[str], properties: Mapping[str, str]) -> int:
     spark = df.sparkSession
     path = f"{_schema_location(spark, name)}/{name.split('.')[-1]}"
+    df = _gathered(df, partition_by)
 
     def save(frame: DataFrame) -> None:
         writer = frame.write.format("parquet").option("path", path)
@@ -328,9 +329,14 @@ def _save(df: DataFrame, name: str, partition_by: Sequence[str], properties: Map
     return rows
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together, else every task writes a file into each; AQE splits large ones."""
+    return df.hint("rebalance", *map(col, partition_by)) if partition_by else df
+
+
 def _append(df: DataFrame, name: str) -> int:
     target = df.sparkSession.table(name)
-    rows = align_to(df, target)
+    rows = _gathered(align_to(df, target), _partitions(df.sparkSession, name))
     return _observed(rows, lambda frame: frame.write.insertInto(_sql(name)))
 
 
@@ -414,7 +420,8 @@ def _rewrite_partitions(df: DataFrame, name: str) -> None:
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:
-        df.select(*map(col, spark.table(name).columns)).write.insertInto(_sql(name), overwrite=True)
+        rows = df.select(*map(col, spark.table(name).columns))
+        _gathered(rows, _partitions(spark, name)).write.insertInto(_sql(name), overwrite=True)
     finally:
         spark.conf.set(setting, before)
 

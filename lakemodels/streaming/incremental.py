@@ -32,6 +32,9 @@ def stream_incremental(
     * append writes each batch into a partition of its own
       (``batch_column``), which a repeated delivery overwrites.
 
+    Partition a large target by columns of its key (``partition_by``): a batch
+    then rewrites only the partitions it touches, else the whole table.
+
     ``options`` go to ``write_incremental``. The default trigger processes what
     is there and stops.
     """
