@@ -92,6 +92,15 @@ def json_text_of_events(spark, folder):
     )
 
 
+@plan(f"""
+    SELECT doc_id, {_JSON_TEXT.format('text')} AS text, {_JSON_TEXT.format('source')} AS source FROM documents
+""")
+def encode_json_documents(spark, folder):
+    return read(spark, folder, "documents").select(
+        "doc_id", encode_json_text(F.col("text")).alias("text"), encode_json_text(F.col("source")).alias("source")
+    )
+
+
 @plan("""
     SELECT o_orderkey AS order_id, CAST(json_object(
         'key', o_orderkey, 'price', CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR),

@@ -212,7 +212,7 @@ def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
     """Publish target + staged batch, in place where only some partitions change."""
     spark, name, keys = batch.sparkSession, change.name, change.keys
     stored_by = _partitions(spark, name)
-    narrow, kinds = target.schema, {f.name: f.dataType for f in batch.schema.fields}
+    stored_types, kinds = _types(target), {f.name: f.dataType for f in batch.schema.fields}
     if change.widen:
         target, batch = widen_pair(target, batch)
 
@@ -222,7 +222,7 @@ def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
         # A batch number is stored after the partitions: only null keys would be inserted twice by a repeat.
         and not (change.properties and _has_null_keys(batch, keys))
     )
-    rebuild = bool(change.missing) or target.schema != narrow or not by_partition
+    rebuild = bool(change.missing) or _types(target) != stored_types or not by_partition
     if rebuild:
         target = target.drop(*change.missing).withColumns({c: F.lit(None).cast(kinds[c]) for c in change.new})
     elif change.new:
@@ -329,6 +329,10 @@ def _save(df: DataFrame, name: str, partition_by: Sequence[str], properties: Map
     return rows
 
 
+def _types(df: DataFrame) -> list:
+    return [f.dataType for f in df.schema.fields]
+
+
 def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition together, else every task writes a file into each; AQE splits large ones."""
     return df.hint("rebalance", *map(col, partition_by)) if partition_by else df

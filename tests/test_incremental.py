@@ -96,6 +96,26 @@ def test_batches_in_one_step_equal_batches_in_a_row(spark, seed):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(_merged_one_by_one(start, batches), key=key)
 
 
+def test_a_third_of_both_sides_share_one_key(spark):
+    """Hot and null keys on both sides, every join by shuffle."""
+    draw = random.Random(11)
+    key_of = lambda i: 1 if i % 3 == 0 else None if i % 7 == 0 else draw.randrange(2, 400)
+    start = [(key_of(i), draw.randrange(100)) for i in range(600)]
+    batch = [(key_of(i), draw.choice([None, *range(100)])) for i in range(600)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = spark.createDataFrame(start, "k int, v int"), spark.createDataFrame(batch, "k int, v int")
+        got = list(map(tuple, merge_frames(*frames, ["k"]).collect()))
+        exchanged = list(map(tuple, delete_insert_frames(*frames, ["k"]).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted(got, key=key) == sorted(_merged_one_by_one(start, [batch]), key=key)
+    gone = {k for k, _ in batch if k is not None}
+    assert sorted(exchanged, key=key) == sorted([r for r in start if r[0] not in gone] + batch, key=key)
+
+
 def test_all_columns_in_the_key_only_insert(spark):
     have = spark.createDataFrame([(1, 1), (1, 1)], "a int, b int")
     new = spark.createDataFrame([(1, 1), (2, 2), (2, 2)], "a int, b int")
