@@ -68,6 +68,17 @@ def test_split_postings_give_the_same_neighbours(spark, monkeypatch):
     assert close(neighbours(spark, texts, 3, max_df=1.0), brute_force_neighbours(texts, 3, max_df=1.0))
 
 
+@pytest.mark.parametrize("texts_per_block, by_block", [(2_000, True), (1, False)])
+def test_both_ways_of_scoring(spark, monkeypatch, texts_per_block, by_block):
+    """Dense candidates go by block, sparse ones pair by pair; the result is the same."""
+    monkeypatch.setattr(tfidf, "_TEXTS_PER_BLOCK", texts_per_block)
+    used, plain = [], tfidf._scored_by_block
+    monkeypatch.setattr(tfidf, "_scored_by_block", lambda *a: used.append(1) or plain(*a))
+    texts = [(i, f"one{i % 3} two{i % 5} three{i % 7} four{i % 11}") for i in range(150)]
+    assert close(neighbours(spark, texts, 3), brute_force_neighbours(texts, 3))
+    assert bool(used) == by_block
+
+
 def test_a_third_of_all_texts_are_one_copy(spark):
     texts = [(i, "same old words here") for i in range(30)] + [(100 + i, f"other number{i} words") for i in range(60)]
     found = neighbours(spark, texts, 2)
