@@ -1,6 +1,6 @@
 """Importing this module registers the queries of every operator of the package."""
 
-from lakemodels.llm import toxicity
+from lakemodels.llm import bpe, decontamination, minhash, secrets, toxicity
 from lakemodels.llm.plans import PLANS, SQL
 
-__all__ = ["PLANS", "SQL", "toxicity"]
+__all__ = ["PLANS", "SQL", "bpe", "decontamination", "minhash", "secrets", "toxicity"]
