@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,8 +51,14 @@ KEY_WORDS = set(
 _TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s]")
 _DIGIT = re.compile(r"\d")
 
+_HEX_DIGITS = set("0123456789abcdef")
+# Every sign as the kind of character it is; a run of one kind is then cut to its first sign.
+_KIND_OF = {c: "?" for c in range(128)} | {ord(c): "+" for c in "+/_.-"}
+_KIND_OF |= {c: "a" for c in range(97, 123)} | {c: "A" for c in range(65, 91)} | {c: "0" for c in range(48, 58)}
+_KINDS = re.compile(r"(.)(?=\1)", re.DOTALL)
+
 # Sizes of the feature tables.
-N_CLASS, N_MIX, N_LENGTH, N_ENTROPY, N_CHANGES, N_FILE = 12, 16, 9, 7, 6, 6
+N_CLASS, N_MIX, N_LENGTH, N_DISTINCT, N_CHANGES, N_FILE = 12, 16, 9, 7, 6, 6
 EDGE = 9
 PART = 64
 
@@ -62,7 +67,7 @@ PART = 64
 class Settings:
     """Bounds of the training sample and steps of the fit."""
 
-    sample_rows: int = 40_000
+    sample_rows: int = 10_000
     steps: int = 120
     rate: float = 0.15
     penalty: float = 0.02
@@ -84,35 +89,25 @@ def _secret_parts(text: str) -> list[tuple[int, int]]:
 
 
 def _form(token: str) -> tuple[int, int, int, int, int]:
-    """(class, mix, length, entropy, changes) of a token, each a small number."""
+    """(class, mix, length, distinct signs, changes of kind) of a token, each a small number."""
     length = min(N_LENGTH - 1, int(math.log2(len(token)) * 1.5))
     if len(token) == 1 and not token.isalnum():
         kind = 2 if token == "=" else 3 if token == ":" else 4 if token in "\"'`" else 7
         return kind, 13, 0, 0, 0
-    core = token.strip(".-")
-    lower = upper = digit = joint = other = 0
-    kinds = []
-    for c in core:
-        if "a" <= c <= "z":
-            lower += 1
-            kinds.append(0)
-        elif "A" <= c <= "Z":
-            upper += 1
-            kinds.append(1)
-        elif c.isdigit():
-            digit += 1
-            kinds.append(2)
-        elif c in "+/_.-":
-            joint += 1
-            kinds.append(3)
-        else:
-            other += 1
-            kinds.append(4)
-    changes = min(N_CHANGES - 1, int(math.log2(1 + sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)))))
-    counts = Counter(core)
-    n = max(1, len(core))
-    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    if other:
+    # A path behind a colon is written like a joined word, whatever it is made of.
+    core = "a.b" if token.startswith("//") else token.strip(".-")
+    distinct = min(N_DISTINCT - 1, int(math.log2(len(set(core)) or 1) * 1.5))
+    if core.isalpha():
+        mix = 0 if core.islower() else 2 if core.isupper() else 1 if core.istitle() else 8
+        if not core.isascii():
+            mix = 14
+        kind = 1 if core.lower() in KEY_WORDS else 8 if mix in (1, 2, 8) else 0
+        return kind, mix, length, distinct, 1 if mix == 8 else 0
+    shown = core if core.isascii() else core.encode("ascii", "replace").decode()
+    kinds = _KINDS.sub("", shown.translate(_KIND_OF))
+    changes = min(N_CHANGES - 1, int(math.log2(1 + len(kinds))))
+    lower, upper, digit, joint = (k in kinds for k in "aA0+")
+    if "?" in kinds:
         mix = 14
     elif joint and ("+" in core or "/" in core):
         mix = 9
@@ -121,15 +116,11 @@ def _form(token: str) -> tuple[int, int, int, int, int]:
     elif digit and not (lower or upper):
         mix = 3
     elif digit and lower and not upper:
-        mix = 4 if not set(core) - set("0123456789abcdef") else 5
+        mix = 5 if set(core) - _HEX_DIGITS else 4
     elif digit and upper and not lower:
         mix = 6
-    elif digit:
-        mix = 7
-    elif upper and lower:
-        mix = 1 if core[0].isupper() and upper == 1 else 8
     else:
-        mix = 2 if upper else 0
+        mix = 7
     if core.lower() in KEY_WORDS:
         kind = 1
     elif mix == 3:
@@ -138,60 +129,65 @@ def _form(token: str) -> tuple[int, int, int, int, int]:
         kind = 11 if len(core) >= 16 else 6
     else:
         kind = 8 if mix in (1, 2, 8) else 10 if mix in (10, 11) else 0
-    return kind, mix, length, min(N_ENTROPY - 1, int(entropy * 1.5)), changes
+    return kind, mix, length, distinct, changes
 
 
 class Forms(dict):
-    """Forms of the tokens met, by number; forgets all when it holds too many."""
+    """Forms of the tokens met, by number; forgets all when it holds too many.
 
-    def __init__(self, limit: int = 300_000):
+    With a field it also keeps which tokens could be more than O in some surroundings.
+    """
+
+    def __init__(self, field: Field | None = None, limit: int = 300_000):
         super().__init__()
         self.limit = limit
+        self.field = field
+        self.opens: dict[tuple, bool] = {}
         self.table = np.zeros((1024, 5), np.int16)
+        self.plain = np.zeros(1024, bool)
+        self.open = np.zeros(1024, bool)
 
     def __missing__(self, token: str) -> int:
         n = len(self)
         if n == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[n] = _form(token)
+            for name in ("table", "plain", "open"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        form = _form(token)
+        self.table[n] = form
+        self.plain[n] = form[1] <= 2 or form[1] in (10, 14)
+        if self.field is not None:
+            known = self.opens.get(form)
+            if known is None:
+                known = self.opens[form] = self.field.may_open(form)
+            self.open[n] = known
         self[token] = n
         return n
 
-    def of(self, tokens: list[str]) -> np.ndarray:
-        """The forms of tokens, one row each."""
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        """The number of each token; numbers hold until the next call."""
         if len(self) > self.limit:
             self.clear()
-        numbers = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
-        return self.table[numbers]
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
 
-def _file_class(forms: np.ndarray) -> int:
+def _file_class(plain: np.ndarray) -> int:
     """Share of tokens that are neither plain words nor words with a capital, in steps."""
-    plain = ((forms[:, 1] <= 2) | (forms[:, 1] == 14) | (forms[:, 1] == 10)).mean() if len(forms) else 1.0
-    return min(N_FILE - 1, int((1 - plain) * 10))
-
-
-def _shifted(classes: np.ndarray, by: int) -> np.ndarray:
-    """Classes of the tokens ``by`` places away, EDGE beyond the text."""
-    out = np.full(len(classes), EDGE, classes.dtype)
-    if by < 0:
-        out[-by:] = classes[:by]
-    else:
-        out[:-by] = classes[by:]
-    return out
+    return min(N_FILE - 1, int((1 - plain.mean()) * 10)) if len(plain) else 0
 
 
 # Feature tables, each with one number per token. The first five are the token's own.
-TABLES = [N_CLASS, N_MIX, N_LENGTH, N_ENTROPY, N_CHANGES, N_CLASS, N_CLASS, N_CLASS, N_CLASS * N_MIX, N_FILE]
+TABLES = [N_CLASS, N_MIX, N_LENGTH, N_DISTINCT, N_CHANGES, N_CLASS, N_CLASS, N_CLASS, N_CLASS * N_MIX, N_FILE]
 OFFSETS = np.concatenate([[0], np.cumsum(TABLES)])
 
 
-def features(forms: np.ndarray, file: int) -> np.ndarray:
-    """Feature numbers of every token: own form, classes at -1, -2, +1, class at -1 with own mix, file."""
-    classes = forms[:, 0]
-    near = [_shifted(classes, -1), _shifted(classes, -2), _shifted(classes, 1)]
-    columns = [forms[:, i] for i in range(5)] + near
-    columns += [near[0] * N_MIX + forms[:, 1], np.full(len(forms), file, np.int16)]
+def features(table: np.ndarray, numbers: np.ndarray, file: int, at: np.ndarray) -> np.ndarray:
+    """Feature numbers of the tokens at some places: own form, classes at -1, -2, +1, class at -1 with own mix, file."""
+    classes = np.concatenate([[EDGE, EDGE], table[numbers, 0], [EDGE]])
+    own = table[numbers[at]]
+    before = classes[at + 1]
+    columns = [own[:, i] for i in range(5)] + [before, classes[at], classes[at + 3], before * N_MIX + own[:, 1]]
+    columns.append(np.full(len(at), file))
     return np.stack(columns, axis=1).astype(np.int32) + OFFSETS[:-1].astype(np.int32)
 
 
@@ -202,22 +198,39 @@ class Field:
     weights: np.ndarray
     moves: np.ndarray
 
+    def __post_init__(self):
+        moves, tables = self.moves, np.split(self.weights, OFFSETS[1:-1])
+        # The most that another label than O can win back at both of its transitions.
+        gain = [
+            max(moves[p, x] - moves[p, 0] for p in range(3)) + max(moves[x, q] - moves[0, q] for q in range(3))
+            for x in (1, 2)
+        ]
+        self._gain = np.maximum(0.0, gain)
+        # The least by which a surrounding can favour O, for each mix of the token itself.
+        lead = [t[:, :1] - t[:, 1:] for t in tables]
+        around = sum(lead[i].min(axis=0) for i in (5, 6, 7, 9))
+        self._around = around + lead[8].reshape(N_CLASS, N_MIX, 2).min(axis=0)
+        self._own = lead[:5]
+
+    def may_open(self, form: tuple[int, int, int, int, int]) -> bool:
+        """Whether a token of this form can be another label than O anywhere; others are O on every best path."""
+        own = sum(lead[i] for lead, i in zip(self._own, form, strict=True))
+        return bool((own + self._around[form[1]] <= self._gain).any())
+
     def emissions(self, feature_numbers: np.ndarray) -> np.ndarray:
         return self.weights[feature_numbers].sum(axis=1)
 
-    def decode(self, scores: np.ndarray) -> list[tuple[int, int]]:
-        """(first, last) token of every secret on the best path."""
-        moves = self.moves
-        # The most that another label than O can win back at both of its transitions.
-        gain = [max(moves[p, x] - moves[p, 0] for p in range(3)) + max(moves[x, q] - moves[0, q] for q in range(3)) for x in (1, 2)]
-        open_ = (scores[:, 0] - scores[:, 1] <= max(0.0, gain[0])) | (scores[:, 0] - scores[:, 2] <= max(0.0, gain[1]))
-        at = np.flatnonzero(open_)
+    def decode(self, at: np.ndarray, scores: np.ndarray, n: int) -> list[tuple[int, int]]:
+        """(first, last) token of every secret on the best path of n tokens, of which only those at ``at`` can be in one."""
+        open_ = (scores[:, :1] - scores[:, 1:] <= self._gain).any(axis=1)
+        at, scores = at[open_], scores[open_]
         found: list[tuple[int, int]] = []
         if not len(at):
             return found
-        for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+        cuts = np.flatnonzero(np.diff(at) > 1) + 1
+        for run, rows in zip(np.split(at, cuts), np.split(scores, cuts), strict=True):
             first, last = int(run[0]), int(run[-1])
-            labels = self._best(scores[first : last + 1], first > 0, last + 1 < len(scores))
+            labels = self._best(rows, first > 0, last + 1 < n)
             begin = None
             for i, label in enumerate([*labels, 0]):
                 if begin is not None and label != 2:
@@ -274,8 +287,8 @@ def _training_parts(known: Forms, number: int, text: str):
     tokens, spans = _tokens(text)
     if not tokens:
         return
-    forms = known.of(tokens)
-    numbers = features(forms, _file_class(forms))
+    ids = known.numbers(tokens)
+    numbers = features(known.table, ids, _file_class(known.plain[ids]), np.arange(len(tokens)))
     labels = np.zeros(len(tokens), np.int8)
     starts = np.array([a for a, _ in spans])
     for a, b in sorted(_secret_parts(text), key=lambda s: s[0] - s[1]):
@@ -286,7 +299,7 @@ def _training_parts(known: Forms, number: int, text: str):
             labels[first + 1 : last + 1] = 2
     for at in range(0, len(tokens), PART):
         part = slice(at, at + PART)
-        digits = (forms[part, 1] >= 3).any() and any(_DIGIT.search(t) for t in tokens[part])
+        digits = not known.plain[ids[part]].all() and any(_DIGIT.search(t) for t in tokens[part])
         if labels[part].any() or digits or (at == 0 and number % 16 == 0):
             yield numbers[part], labels[part]
 
@@ -300,7 +313,7 @@ def train(rows: list[tuple[list[int], list[int]]], settings: Settings = Settings
     """Maximum likelihood with a ridge by Adam; rows are (labels, features of each token in one list)."""
     weights, moves = np.zeros((int(OFFSETS[-1]), 3)), np.zeros((3, 3))
     if not rows:
-        weights[: N_CLASS, 0] = 20.0  # nothing to learn from: everything is outside
+        weights[:N_CLASS, 0] = 20.0  # nothing to learn from: everything is outside
         return Field(weights, moves)
     n, width = len(rows), PART
     numbers = np.zeros((n, width, len(TABLES)), np.int32)
@@ -359,15 +372,17 @@ def _expected(scores: np.ndarray, moves: np.ndarray, there: np.ndarray) -> tuple
     return marginal, moved
 
 
-def spans_of(field: Field, known: Forms, text: str | None, least_length: int = 8) -> list[tuple[int, int, str]]:
+def spans_of(known: Forms, text: str | None, least_length: int = 8) -> list[tuple[int, int, str]]:
     """All spans of a text in the order start, kind: pattern matches, and field spans apart from them."""
     if not text:
         return []
     spans = base_spans(text)
     tokens = _TOKEN.findall(text)
-    if tokens:
-        forms = known.of(tokens)
-        secrets = field.decode(field.emissions(features(forms, _file_class(forms))))
+    numbers = known.numbers(tokens)
+    at = np.flatnonzero(known.open[numbers])
+    if len(at):
+        chosen = features(known.table, numbers, _file_class(known.plain[numbers]), at)
+        secrets = known.field.decode(at, known.field.emissions(chosen), len(tokens))
         if secrets:
             places = [m.span() for m in _TOKEN.finditer(text)]
             taken = list(spans)
@@ -391,12 +406,12 @@ def scan(documents: DataFrame, field: Field, text: str = "text", least_length: i
     names = kept.columns
 
     def start():
-        known = Forms()
+        known = Forms(field)
 
         def work(part):
             out = {name: part[name] for name in names}
             out["secrets"] = [
-                [{"start": a, "end": b, "kind": kind} for a, b, kind in spans_of(field, known, value, least_length)]
+                [{"start": a, "end": b, "kind": kind} for a, b, kind in spans_of(known, value, least_length)]
                 for value in part[text]
             ]
             return out
@@ -423,11 +438,11 @@ def redact(documents: DataFrame, field: Field, mark: str = "[SECRET]", least_len
     names, schema = documents.columns, documents.schema
 
     def start():
-        known = Forms()
+        known = Forms(field)
 
         def work(part):
             out = dict(part)
-            out["text"] = [redacted(t, [s[:2] for s in spans_of(field, known, t, least_length)], mark) for t in part["text"]]
+            out["text"] = [redacted(t, [s[:2] for s in spans_of(known, t, least_length)], mark) for t in part["text"]]
             if "n_chars" in names:
                 out["n_chars"] = [
                     n if new is old or new == old else len(new)
