@@ -60,8 +60,7 @@ class WordBpe:
         self._build(model)
         self._word_ids: dict[str, tuple[int, ...]] = {}
         self._known: dict[str, tuple[int, str, str]] = {}
-        self._pair_fits: dict[tuple[int, int], bool] = {}
-        self._stable: dict[int, bool] = {}
+        self._pair_fits: dict[int, bool] = {}
 
     def _build(self, model: dict) -> None:
         vocab, mark = model["vocab"], self.mark
@@ -84,11 +83,13 @@ class WordBpe:
             self._parts.setdefault(whole, (*ids, rank))
             text_of[whole] = text_of[ids[0]] + text_of[ids[1]]
         self._automaton = ahocorasick.Automaton()
+        self._spines: tuple[dict, dict] = ({}, {})
+        self._stable: dict[int, bool] = {}
         for number, text in text_of.items():
-            self._automaton.add_word(text, (number, len(text)))
+            if self.stable(number):
+                self._automaton.add_word(text, (number, len(text)))
         self._automaton.make_automaton()
         self._text = text_of
-        self._spines: tuple[dict, dict] = ({}, {})
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """From the symbol at an edge of a token (0: left, 1: right) up to the token: node, rank that consumes it."""
@@ -104,15 +105,6 @@ class WordBpe:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two tokens next to each other are what their joined symbols are encoded to."""
-        key = (left, right)
-        known = self._pair_fits.get(key)
-        if known is None:
-            if len(self._pair_fits) > 4 * self._remembered:
-                self._pair_fits.clear()
-            known = self._pair_fits[key] = self._fits(left, right)
-        return known
-
-    def _fits(self, left: int, right: int) -> bool:
         merged = self._merged
         left_spine, right_spine = self._spine(left, 1), self._spine(right, 0)
         i = j = 0
@@ -156,21 +148,30 @@ class WordBpe:
         return True
 
     def encode_word(self, word: str) -> tuple[int, ...]:
-        """Ids of one word (not empty, normalised)."""
-        known = self._word_ids.get(word)
-        if known is not None:
-            return known
+        """Ids of one word (not empty, normalised), remembered."""
         raw = word.encode("utf-8", "surrogatepass").decode("latin-1")
         symbols = raw[:-1] + chr(ord(raw[-1]) + 256)
         last: list[int | None] = [None] * (len(symbols) + 1)
         back = [0] * (len(symbols) + 1)
+        pairs = self._pair_fits
         for end, (token, length) in self._automaton.iter(symbols):
             at = end + 1
-            begin = at - length
-            if last[at] is not None or (begin and last[begin] is None) or not self.stable(token):
+            if last[at] is not None:
                 continue
-            if not begin or self.fits(last[begin], token):
-                last[at], back[at] = token, begin
+            begin = at - length
+            if begin:
+                left = last[begin]
+                if left is None:
+                    continue
+                key = left << 20 | token
+                fit = pairs.get(key)
+                if fit is None:
+                    fit = pairs[key] = self.fits(left, token)
+                if not fit:
+                    continue
+            last[at], back[at] = token, begin
+        if len(pairs) > 4 * self._remembered:
+            pairs.clear()
         ids: list[int] = []
         at = len(symbols)
         while at:
@@ -183,23 +184,27 @@ class WordBpe:
         out = self._word_ids[word] = tuple(ids[::-1])
         return out
 
-    def words(self, text: str) -> list[str]:
-        """Normalised words of a text without special tokens."""
-        # One capital sigma has a second lower-case form at the end of words, which the vocabulary's rule does not use.
-        lowered = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self._words.findall(lowered)
+    def normal(self, text: str) -> str:
+        """Composed and lower-cased, letter by letter."""
+        # Capital sigma has a second lower-case form at the end of words, which the vocabulary's rule does not use.
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    def _encode_normal(self, text: str) -> list[int]:
+        """Ids of a normalised text without special tokens."""
+        out: list[int] = []
+        for word in self._words.findall(text):
+            out += self._word_ids.get(word) or self.encode_word(word)
+        return out
 
     def encode(self, text: str | None) -> list[int]:
+        """Ids of a text. Special tokens are found before anything else, as they are spelled."""
         out: list[int] = []
         at = 0
         for found in self._special.finditer(text or "") if self._special else ():
-            for word in self.words(text[at : found.start()]):
-                out += self.encode_word(word)
+            out += self._encode_normal(self.normal(text[at : found.start()]))
             out.append(self.special[found[0]])
             at = found.end()
-        for word in self.words((text or "")[at:]):
-            out += self.encode_word(word)
-        return out
+        return out + self._encode_normal(self.normal((text or "")[at:]))
 
     def decode(self, ids: list[int] | tuple[int, ...]) -> str:
         """Pieces joined by a space, special tokens included; the vocabulary file names no other decoder."""
@@ -217,10 +222,12 @@ class WordBpe:
         if len(known) > self._remembered:
             known.clear()
         n, ids, decoded = 0, [], []
-        for chunk in text.split():
+        plain = self._special is None or self._special.search(text) is None
+        encode = self._encode_normal if plain else self.encode
+        for chunk in (self.normal(text) if plain else text).split():
             found = known.get(chunk)
             if found is None:
-                numbers = self.encode(chunk)
+                numbers = encode(chunk)
                 found = known[chunk] = (len(numbers), " ".join(map(str, numbers)), self.decode(numbers))
             if found[0]:
                 n += found[0]
