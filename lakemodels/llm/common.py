@@ -100,6 +100,16 @@ def ascii_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def compact(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Write a frame to the shared folder and read it with about ``rows`` rows per partition.
+
+    Work on few rows then makes few shuffle files, however many partitions the step before it had.
+    """
+    df = freeze(df)
+    wanted = 1 + df.count() // rows
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+
+
 def connected(edges: DataFrame, left: str, right: str) -> DataFrame:
     """Connected components: (node, component), component being the smallest node of it.
 
@@ -111,7 +121,8 @@ def connected(edges: DataFrame, left: str, right: str) -> DataFrame:
     pairs = edges.select(
         F.least(left, right).cast("long").alias("lo"), F.greatest(left, right).cast("long").alias("hi")
     ).where("lo < hi")
-    pairs = freeze(pairs.distinct())
+    pairs = compact(pairs.distinct())
+    parts = max(1, pairs.rdd.getNumPartitions())
     while True:
         both = pairs.select(F.col("lo").alias("node"), F.col("hi").alias("other")).unionByName(
             pairs.select(F.col("hi").alias("node"), F.col("lo").alias("other"))
@@ -120,13 +131,14 @@ def connected(edges: DataFrame, left: str, right: str) -> DataFrame:
         large = (
             both.where("other > node").join(least, "node").select(F.col("other").alias("node"), "least").distinct()
         )
-        large = freeze(large.where("least < node"))
+        large = freeze(large.where("least < node").coalesce(parts))
         low = large.groupBy("node").agg(F.min("least").alias("least"))
         small = large.withColumnRenamed("least", "other").join(low, "node")
         new = freeze(
             small.select(F.when(F.col("other") > F.col("least"), F.col("other")).otherwise(F.col("node")).alias("hi"), F.col("least").alias("lo"))
             .where("lo < hi")
             .distinct()
+            .coalesce(parts)
         )
         settled = new.count() == pairs.count() and new.exceptAll(pairs.select("hi", "lo")).isEmpty()
         if settled:
@@ -139,6 +151,7 @@ def connected(edges: DataFrame, left: str, right: str) -> DataFrame:
 __all__ = [
     "Numbered",
     "ascii_words",
+    "compact",
     "connected",
     "freeze",
     "map_rows",

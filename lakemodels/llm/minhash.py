@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemodels.llm.common import Numbered, ascii_words, connected, freeze, map_rows, window_hashes
+from lakemodels.llm.common import Numbered, ascii_words, compact, connected, freeze, map_rows, window_hashes
 from lakemodels.llm.plans import PLANS, SQL, read
 
 SHINGLE_WORDS = 5
@@ -139,26 +139,30 @@ def near_duplicates(
         )
     )
 
-    lists = freeze(_lists(classes, k, need))
+    lists = compact(_lists(classes, k, need))
     centres = lists.groupBy("value").agg(
         F.min(F.struct(-F.col("n_shared"), "doc")).alias("centre"), F.count("*").alias("n_members")
     )
-    met = lists.join(centres.where("n_members > 1"), "value")
-    members = met.select("doc").distinct()
-    wanted = classes.join(members, "doc")
+    met = compact(lists.join(centres.where("n_members > 1"), "value"))
+    wanted = compact(classes.join(met.select("doc").distinct(), "doc"), 20_000)
     sketches = wanted.select("doc", "n", "sketch")
-    sets = freeze(full_sets(documents, wanted, size))
+    sets = compact(full_sets(documents, wanted, size), 4_000)
     star = met.select(F.col("doc").alias("a"), F.col("centre.doc").alias("b")).where("a <> b").distinct()
-    first = freeze(verified(star, sketches, sets, k, need, percent))
-    components = connected(first, "a", "b")
+    first = connected(verified(star, sketches, sets, k, need, percent), "a", "b")
 
-    rest = _unconnected(met, components)
+    rest = compact(_unconnected(met, first))
     second = verified(_by_prefix(sets, rest, percent), sketches, sets, k, need, percent)
-    links = first.unionByName(second)
-    components = connected(links, "a", "b")
-
-    named = classes.select("digest", "doc").join(components.withColumnRenamed("node", "doc"), "doc", "left")
-    named = named.select("digest", F.coalesce("component", "doc").alias("found"))
+    side = lambda name: rest.select(F.col("doc").alias(name), F.col("component").alias(f"c_{name}"))
+    second = connected(second.join(side("a"), "a").join(side("b"), "b"), "c_a", "c_b")
+
+    # The links of the second step join the components of the first.
+    named = (
+        classes.select("digest", "doc")
+        .join(first.select(F.col("node").alias("doc"), F.col("component").alias("c1")), "doc", "left")
+        .withColumn("c1", F.coalesce("c1", "doc"))
+        .join(second.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
+        .select("digest", F.coalesce("c2", "c1").alias("found"))
+    )
     # Every class has one row here; the hot key is on the left side, which Spark may split.
     joined = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id"))
@@ -211,7 +215,7 @@ def _by_prefix(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
         "doc", "n", "component", (F.col("n") - F.size("v")).alias("own"),
         F.posexplode(F.slice("v", 1, F.greatest(F.lit(0), (F.size("v") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")))),
     ).select("doc", "n", "component", F.col("col.value").alias("value"), (F.col("own") + F.col("pos")).alias("rank"))
-    ranked = freeze(ranked)
+    ranked = compact(ranked, 200_000)
     left_over = F.col("n") - F.col("rank")
     size_class = lambda n: F.floor(F.log(n) / SIZE_CLASS)
     smaller = ranked.where(left_over >= least_overlap(F.col("n"), F.col("n"), percent)).select(
