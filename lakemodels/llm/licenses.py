@@ -142,6 +142,8 @@ class Templates:
             for bigram in held:
                 self.holders[bigram].append(number)
         self.known = frozenset(self.holders)
+        # Templates of one word match units of one word.
+        self.single = frozenset(b for b in self.holders if len(b) == 1)
         t = threshold
         self.least = [math.ceil(len(s) * t / (2 - t) - 1e-9) for s in self.sets]
         self.most = [math.floor(len(s) * (2 - t) / t + 1e-9) for s in self.sets]
@@ -149,7 +151,9 @@ class Templates:
     def candidates(self, text: str) -> list[int]:
         """Templates of which the text holds enough bigrams at all."""
         words = words_of(text)
-        found = self.known.intersection(zip(words, words[1:], strict=False)) or self.known.intersection([tuple(words)])
+        found = self.known.intersection(zip(words, words[1:], strict=False))
+        if self.single:
+            found |= self.single.intersection(zip(words, strict=True))
         counts = Counter(n for bigram in found for n in self.holders[bigram])
         return sorted(n for n, c in counts.items() if c >= self.least[n])
 

@@ -1,7 +1,7 @@
 """Toxicity: a learned lexicon, matched with misspellings, scored in context.
 
 *Lexicon.* Terms are words or word beginnings that occur in toxic documents and hardly in
-others. A closed word is written with the end mark ``$``, a beginning without it, so both
+others, more often than chance allows (``Settings.least_evidence``). A closed word is written with the end mark ``$``, a beginning without it, so both
 are plain strings of one trie. They are learned from a bounded sample of labelled rows
 (``Settings.toxic_rows`` + ``Settings.clean_rows``), near copies counted once.
 
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakemodels.llm.common import Numbered, ascii_words, map_rows, window_hashes
+from lakemodels.llm.common import HashedWords, ascii_words, map_rows, window_hashes
 from lakemodels.llm.plans import PLANS, read
 
 # Quotation marks, words of reporting and forms of address in the four languages.
@@ -53,7 +53,7 @@ class Settings:
 
     toxic_rows: int = 4000
     clean_rows: int = 8000
-    least_documents: int = 12
+    least_evidence: float = 12.0
     least_precision: float = 0.97
     shortest: int = 4
     longest: int = 12
@@ -252,8 +252,13 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, settings:
     sizes = counts.where("term = ''").select("source", "toxic").distinct().groupBy("toxic").count().collect()
     n = defaultdict(lambda: 1, {r["toxic"]: max(1, r["count"]) for r in sizes})
     rate = (F.col("clean") + 0.5) / n[0]
+    # Log likelihood of the term's own share of toxic documents against the sample's: what chance would need.
+    share, all_of = n[1] / (n[0] + n[1]), F.col("toxic") + F.col("clean")
+    evidence = F.col("toxic") * F.log(F.col("toxic") / (all_of * share)) + F.col("clean") * F.log(
+        (F.col("clean") + 1e-9) / (all_of * (1 - share))
+    )
     found = (
-        support.where((F.col("term") != "") & (F.col("toxic") >= settings.least_documents))
+        support.where((F.col("term") != "") & (F.col("toxic") > 1) & (evidence >= settings.least_evidence))
         .where((F.col("toxic") / n[1]) / (F.col("toxic") / n[1] + rate) >= settings.least_precision)
         .orderBy(F.desc("toxic"), "term")
         .limit(settings.terms * 50)
@@ -264,7 +269,7 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, settings:
 
 
 def _terms_of_slices(settings: Settings):
-    numbered = Numbered()
+    numbered = HashedWords()
 
     def work(part):
         out: dict[str, list] = {"term": [], "toxic": [], "source": []}
@@ -284,7 +289,7 @@ def _terms_of_slices(settings: Settings):
     return work
 
 
-def _source(numbered: Numbered, text: str) -> int:
+def _source(numbered: HashedWords, text: str) -> int:
     """The least hash of the five-word windows: nearly always equal for near copies."""
     words = ascii_words(text)
     windows = window_hashes(numbered.hashes(words), min(5, max(1, len(words))))
@@ -312,7 +317,7 @@ def _weights(texts: DataFrame, terms: list[str], n: dict[int, int], settings: Se
         return Model({}, window)
 
     def start():
-        matcher, numbered = Matcher(terms), Numbered()
+        matcher, numbered = Matcher(terms), HashedWords()
 
         def work(part):
             out: dict[str, list] = {"term": [], "errors": [], "toxic": [], "source": []}
