@@ -1,7 +1,8 @@
-"""What several operators share: Arrow passes over texts, numbered words, connected components."""
+"""What several operators share: Arrow passes over texts, hashed words, connected components."""
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,35 +41,28 @@ def map_rows(df: DataFrame, schema: str | T.StructType, start: Callable[[], Call
     return df.mapInArrow(run, struct)
 
 
-class Numbered(dict):
-    """Numbers words as they are met and keeps a 64-bit hash of each; forgets all when it holds too many."""
+class HashedWords(dict):
+    """Remembers the 64-bit hash of every word met, by number; forgets all when it holds too many."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 400_000):
         super().__init__()
         self.limit = limit
-        self._hashes = np.zeros(1024, np.uint64)
+        self._hashes = array("Q")
 
     def __missing__(self, word: bytes) -> int:
-        number = len(self)
-        if number == len(self._hashes):
-            self._hashes = np.concatenate([self._hashes, np.zeros(number, np.uint64)])
-        self._hashes[number] = self.hash_of(word)
-        self[word] = number
+        number = self[word] = len(self._hashes)
+        self._hashes.append(xxhash.xxh3_64_intdigest(word))
         return number
 
-    def hash_of(self, word: bytes) -> int:
-        return xxhash.xxh3_64_intdigest(word)
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word; numbers hold until the next call."""
+    def hashes(self, words: list[bytes]) -> np.ndarray:
+        """The hash of each word."""
         if len(self) > self.limit:
             self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        """The 64-bit hash of each word."""
-        numbers = self.numbers(words)
-        return self._hashes[numbers]
+            self._hashes = array("Q")
+        if not words:
+            return np.zeros(0, np.uint64)
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self._hashes, np.uint64)[numbers]
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -97,7 +91,7 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def ascii_words(text: str | None) -> list[bytes]:
     """Words of a text after A-Z are lower-cased: runs without ASCII white space."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    return text.encode().lower().split() if text else []
 
 
 def compact(df: DataFrame, rows: int = 100_000) -> DataFrame:
@@ -110,6 +104,38 @@ def compact(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
 
 
+def bloom_of(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A Bloom filter of the values of a long column, folded in Spark.
+
+    ``bits`` fixes its size whatever the column holds: at most bits / 64 rows reach the driver, and the
+    array may be sent to every task. A full filter lets more through, it never loses a value.
+    """
+    value = F.col(column)
+    places = F.array(*[F.pmod(F.shiftright(value, by), F.lit(bits)) for by in _BLOOM_SHIFTS])
+    rows = (
+        df.select(F.explode(places).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits"))
+    )
+    out = np.zeros(bits // 64, np.int64)
+    for at, word in rows.collect():
+        out[at] = word
+    return out
+
+
+# Two numbers are taken from a value: itself and its upper part.
+_BLOOM_SHIFTS = (0, 30)
+
+
+def in_bloom(bloom: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values the filter may hold."""
+    found = np.ones(len(values), bool)
+    for by in _BLOOM_SHIFTS:
+        bit = (values >> by) % (64 * len(bloom))
+        found &= (bloom[bit >> 6] >> (bit & 63)) & 1 == 1
+    return found
+
+
 def connected(edges: DataFrame, left: str, right: str) -> DataFrame:
     """Connected components: (node, component), component being the smallest node of it.
 
@@ -149,11 +175,13 @@ def connected(edges: DataFrame, left: str, right: str) -> DataFrame:
 
 
 __all__ = [
-    "Numbered",
+    "HashedWords",
     "ascii_words",
+    "bloom_of",
     "compact",
     "connected",
     "freeze",
+    "in_bloom",
     "map_rows",
     "mixed",
     "window_hashes",

@@ -33,7 +33,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemodels.llm.common import Numbered, ascii_words, compact, connected, freeze, map_rows, window_hashes
+from lakemodels.llm.common import (
+    HashedWords,
+    ascii_words,
+    bloom_of,
+    compact,
+    connected,
+    freeze,
+    in_bloom,
+    map_rows,
+    window_hashes,
+)
 from lakemodels.llm.plans import PLANS, SQL, read
 
 SHINGLE_WORDS = 5
@@ -41,11 +51,12 @@ SKETCH = 48
 # Of the 48 least values of a union, a pair with an index of 0.85 shares 23 but for a chance of 3e-10.
 NEED = 23
 PERCENT = 85
+BLOOM_BITS = 1 << 24
 # Sizes are compared by classes of this ratio.
 SIZE_CLASS = math.log(1.03)
 
 
-def shingle_set(words: list[bytes], numbered: Numbered, size: int = SHINGLE_WORDS) -> np.ndarray:
+def shingle_set(words: list[bytes], numbered: HashedWords, size: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes (63 bits); all words as one shingle if there are fewer."""
     if not words:
         return np.zeros(0, np.int64)
@@ -57,7 +68,7 @@ def signatures(documents: DataFrame, size: int = SHINGLE_WORDS, k: int = SKETCH)
     """(doc_id, n_shingles, digest of the set, sketch) of every row of (doc_id, text)."""
 
     def start():
-        numbered = Numbered()
+        numbered = HashedWords()
 
         def work(part):
             sets = [shingle_set(ascii_words(t), numbered, size) for t in part["text"]]
@@ -76,25 +87,35 @@ def signatures(documents: DataFrame, size: int = SHINGLE_WORDS, k: int = SKETCH)
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc, n, shingles) of the documents in ``wanted`` (doc, digest); the digest picks the right row of an id."""
+    """(doc, n, shingles) of the documents in ``wanted`` (doc, digest); the digest picks the right row of an id.
+
+    A Bloom filter of fixed size on the hashed ids keeps most other texts from being read into sets; the
+    join then leaves exactly the wanted ones, and no text is shuffled.
+    """
+    bloom = bloom_of(wanted.select(F.xxhash64("doc").alias("hash")), "hash", BLOOM_BITS)
 
     def start():
-        numbered = Numbered()
+        numbered = HashedWords()
 
         def work(part):
-            out: dict[str, list] = {"doc": [], "n": [], "shingles": []}
-            for doc, text, digest in zip(part["doc"], part["text"], part["digest"], strict=True):
-                shingles = shingle_set(ascii_words(text), numbered, size)
-                if xxhash.xxh3_128_digest(shingles.tobytes()) == bytes(digest):
+            out: dict[str, list] = {"doc": [], "digest": [], "shingles": []}
+            passed = in_bloom(bloom, np.array(part["hash"], np.int64))
+            for doc, text, chosen in zip(part["doc"], part["text"], passed, strict=True):
+                if chosen:
+                    shingles = shingle_set(ascii_words(text), numbered, size)
                     out["doc"].append(doc)
-                    out["n"].append(len(shingles))
+                    out["digest"].append(xxhash.xxh3_128_digest(shingles.tobytes()))
                     out["shingles"].append(shingles)
             return out
 
         return work
 
-    texts = documents.select(F.col("doc_id").alias("doc"), "text").join(wanted.select("doc", "digest"), "doc")
-    return map_rows(texts, "doc long, n long, shingles array<long>", start).dropDuplicates(["doc"])
+    texts = documents.where("doc_id is not null").select(
+        F.col("doc_id").alias("doc"), F.xxhash64("doc_id").alias("hash"), "text"
+    )
+    made = map_rows(texts, "doc long, digest binary, shingles array<long>", start)
+    exact = made.join(wanted.select("doc", "digest"), ["doc", "digest"], "left_semi")
+    return exact.dropDuplicates(["doc"]).select("doc", F.size("shingles").cast("long").alias("n"), "shingles")
 
 
 def least_overlap(n_left: Column, n_right: Column, percent: int) -> Column:
@@ -202,19 +223,14 @@ def _by_prefix(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
     overlap of n - p at most. For the smaller set the overlap of an equally large one must be in
     reach; for the larger one this bounds the size of the other, written as a range of classes.
     """
-    universe = sets.join(rest, "doc")
-    postings = universe.select("doc", "n", "component", F.explode("shingles").alias("value"))
+    postings = sets.join(rest.select("doc"), "doc", "left_semi").select("doc", F.explode("shingles").alias("value"))
     frequent = postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    shared = (
-        postings.join(frequent, "value")
-        .groupBy("doc", "n", "component")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
-    )
+    shared = postings.join(frequent, "value").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
+    shared = shared.join(sets.select("doc", "n"), "doc").join(rest, "doc")
     # Shingles of this document alone are the rarest and take the first ranks.
-    ranked = shared.select(
-        "doc", "n", "component", (F.col("n") - F.size("v")).alias("own"),
-        F.posexplode(F.slice("v", 1, F.greatest(F.lit(0), (F.size("v") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")))),
-    ).select("doc", "n", "component", F.col("col.value").alias("value"), (F.col("own") + F.col("pos")).alias("rank"))
+    prefix = F.slice("v", 1, F.greatest(F.lit(0), (F.size("v") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")))
+    ranked = shared.select("doc", "n", "component", (F.col("n") - F.size("v")).alias("own"), F.posexplode(prefix))
+    ranked = ranked.select("doc", "n", "component", F.col("col.value").alias("value"), (F.col("own") + F.col("pos")).alias("rank"))
     ranked = compact(ranked, 200_000)
     left_over = F.col("n") - F.col("rank")
     size_class = lambda n: F.floor(F.log(n) / SIZE_CLASS)

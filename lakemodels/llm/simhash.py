@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakemodels.llm.common import SLICE_ROWS, Numbered, ascii_words, freeze, map_rows, mixed, window_hashes
+from lakemodels.llm.common import SLICE_ROWS, HashedWords, ascii_words, freeze, map_rows, mixed, window_hashes
 from lakemodels.llm.plans import PLANS, read
 from lakemodels.sources.workspace import ship_package
 
@@ -46,7 +46,7 @@ class Fingerprints:
 
     def __init__(self, size: int = TERM_WORDS):
         self.size = size
-        self.numbered = Numbered()
+        self.numbered = HashedWords()
 
     def of(self, text: str | None) -> bytes:
         words = ascii_words(text)
