@@ -24,13 +24,14 @@ under different ids. Other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemodels.llm.common import freeze, map_rows, window_hashes
+from lakemodels.llm.common import bloom_of, freeze, in_bloom, map_rows, window_hashes
 from lakemodels.llm.plans import PLANS, read
 
 WORDS = 12
@@ -52,44 +53,54 @@ _EDGE = " \t\r\n\f\v.,;:!?\"'()[]{}<>«»“”„‘’…*#&|~`^_=-–—/\\"
 _NUMBER = re.compile(r"[-+]?[€$£]?\d+(?:[.,:/]\d+)*")
 _QUANTITY = re.compile(r"([-+]?[€$£]?\d+(?:[.,]\d+)*)([^\W\d_]+|[%°€$£]|°[cfCF])")
 _SKIP, _WORD, _NUM, _QTY, _UNIT = range(5)
+_KIND, _CAPITAL, _END = 7, 8, 16
+# What may stand behind the end of a sentence, and the ends.
+_BEHIND, _ENDS = "\"')]»”’*#&%$|", (".", "!", "?", ":")
 
 
 def _hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh3_64_intdigest(text.encode())
 
 
 _NUM_HASH, _QTY_HASH, _NAME_HASH = (np.uint64(_hash(f"\0{kind}")) for kind in ("number", "quantity", "name"))
 
 
 class TemplateWords(dict):
-    """Remembers kind, hash and case of every word met, by number; forgets all when it holds too many."""
+    """Remembers kind, case and hash of every word met, by number; forgets all when it holds too many."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 400_000):
         super().__init__()
         self.limit = limit
-        self.kinds = np.zeros(1024, np.int8)
-        self.capital = np.zeros(1024, bool)
-        self.ends = np.zeros(1024, bool)
-        self.hashes = np.zeros(1024, np.uint64)
+        self._flags = array("B")
+        self._hashes = array("Q")
 
     def __missing__(self, word: str) -> int:
-        n = len(self)
-        if n == len(self.kinds):
-            for name in ("kinds", "capital", "ends", "hashes"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate([old, np.zeros(n, old.dtype)]))
-        core = core_of(word)
-        self.kinds[n] = kind_of(core)
-        self.capital[n] = core[:1].isupper() and (len(core) == 1 or core[1:].islower()) and core.isalpha()
-        self.ends[n] = word.rstrip("\"')]»”’*#&%$|").endswith((".", "!", "?", ":"))
-        self.hashes[n] = _hash(core.lower())
-        self[word] = n
-        return n
-
-    def numbers(self, words: list[str]) -> np.ndarray:
+        core = word.strip(_EDGE)
+        lowered = core.lower()
+        if core.isalpha():
+            flags = _UNIT if lowered in UNITS else _WORD
+            if core is not word and word.rstrip(_BEHIND).endswith(_ENDS):
+                flags |= _END
+            if core.istitle():
+                flags |= _CAPITAL
+        else:
+            core = core_of(word)
+            lowered = core.lower()
+            flags = kind_of(core) | (_END if word.rstrip(_BEHIND).endswith(_ENDS) else 0)
+        number = self[word] = len(self._flags)
+        self._flags.append(flags)
+        self._hashes.append(_hash(lowered))
+        return number
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(flags, hashes) of words: kind in the lower bits, then whether it is capitalised and whether a sentence ends."""
         if len(self) > self.limit:
             self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+            self._flags, self._hashes = array("B"), array("Q")
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if not len(numbers):
+            return np.zeros(0, np.uint8), np.zeros(0, np.uint64)
+        return np.frombuffer(self._flags, np.uint8)[numbers], np.frombuffer(self._hashes, np.uint64)[numbers]
 
 
 def core_of(word: str) -> str:
@@ -113,17 +124,18 @@ class Template:
 
     def __init__(self, known: TemplateWords, text: str | None):
         self.raw = text.split() if text else []
-        numbers = known.numbers(self.raw)
-        kinds = known.kinds[numbers].copy()
+        flags, hashes = known.of(self.raw)
+        kinds = flags & _KIND
         before = np.concatenate([[_SKIP], kinds[:-1]]) if len(kinds) else kinds
         unit = (kinds == _UNIT) & (before == _NUM)
         if unit.any():
             kinds[np.flatnonzero(unit) - 1] = _QTY
-        opened = np.concatenate([[True], known.ends[numbers][:-1]]) if len(kinds) else known.ends[numbers]
-        name = known.capital[numbers] & ~opened & ((kinds == _WORD) | (kinds == _UNIT))
+        ends = flags & _END > 0
+        opened = np.concatenate([[True], ends[:-1]]) if len(kinds) else ends
+        name = (flags & _CAPITAL > 0) & ~opened & ((kinds == _WORD) | (kinds == _UNIT))
         kept = np.flatnonzero((kinds != _SKIP) & ~unit)
         self.at = kept
-        kinds, name, plain = kinds[kept], name[kept], known.hashes[numbers][kept]
+        kinds, name, plain = kinds[kept], name[kept], hashes[kept]
         plain = np.where(kinds == _NUM, _NUM_HASH, np.where(kinds == _QTY, _QTY_HASH, plain))
         self.value = (kinds == _NUM) | (kinds == _QTY)
         self.name = name
@@ -183,7 +195,7 @@ def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None) -> Da
                 for size in [min(largest, len(template))] if bloom is None else sizes:
                     hashes, positions, typed = template.windows(size)
                     if bloom is not None and len(hashes):
-                        passed = np.flatnonzero(_in_bloom(bloom, hashes))
+                        passed = np.flatnonzero(in_bloom(bloom, hashes))
                         hashes, positions, typed = hashes[passed], positions[passed], typed[passed]
                     for h, p, t in zip(hashes.tolist(), positions.tolist(), typed.tolist(), strict=True):
                         out["id"].append(number)
@@ -199,25 +211,6 @@ def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None) -> Da
     return map_rows(texts, "id long, n_words int, size int, hash long, position int, slots array<string>", start)
 
 
-def _in_bloom(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    found = np.ones(len(hashes), bool)
-    for bit in (hashes % BLOOM_BITS, (hashes >> 30) % BLOOM_BITS):
-        found &= (bloom[bit >> 6] >> (bit & 63)) & 1 == 1
-    return found
-
-
-def _bloom(items: DataFrame) -> np.ndarray:
-    """The filter, folded in Spark: at most BLOOM_BITS / 64 rows of 64 bits reach the driver."""
-    bits = items.select(F.explode(F.array(F.col("hash") % BLOOM_BITS, F.shiftright("hash", 30) % BLOOM_BITS)).alias("bit"))
-    rows = bits.groupBy(F.shiftright("bit", 6).alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")
-    )
-    out = np.zeros(BLOOM_BITS // 64, np.int64)
-    for at, word in rows.collect():
-        out[at] = word
-    return out
-
-
 def contaminated(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -236,7 +229,7 @@ def contaminated(
     items = freeze(items)
     # At most words - least_words + 1 sizes.
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [words]
-    found = _windows(documents.select(F.col("doc_id").cast("long").alias("id"), "text"), sizes, _bloom(items))
+    found = _windows(documents.select(F.col("doc_id").cast("long").alias("id"), "text"), sizes, bloom_of(items, "hash", BLOOM_BITS))
     found = found.select(F.col("id").alias("doc_id"), "size", "hash", "position", F.col("slots").alias("there"))
     wanted = items.select(
         F.col("id").alias("item_id"), F.col("n_words").alias("item_words"), "size", "hash", F.col("position").alias("at"), "slots"
