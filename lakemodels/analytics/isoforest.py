@@ -63,15 +63,13 @@ def tree_samples(df: DataFrame, id_column: str, trees: int, sample_size: int, se
     """
     n = df.count()
     share = 1.0 if n <= 2 * sample_size else min(1.0, (sample_size + 6 * math.sqrt(sample_size) + 16) / n)
-    if share * trees < 1:
-        # Large table: one draw picks a row for any tree, the next says for which one.
-        picked = df.where(_uniform(col(id_column), F.lit(seed)) < share * trees)
-        chosen = picked.withColumn("tree", F.pmod(F.xxhash64(col(id_column), F.lit(seed + 1)), F.lit(trees)).cast("int"))
-    else:
-        chosen = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    chosen = chosen.withColumn("draw", _uniform(col(id_column), F.col("tree"), F.lit(seed + 2)))
-    if share * trees >= 1:
-        chosen = chosen.where(F.col("draw") < share)
+
+    def draw(tree: Column) -> Column:
+        return _uniform(col(id_column), tree, F.lit(seed + 2))
+
+    # A row draws for every tree; only the trees that it is in become rows.
+    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < share)
+    chosen = df.withColumn("tree", F.explode(mine)).withColumn("draw", draw(F.col("tree")))
     return top_per_group(chosen, ["tree"], [F.col("draw"), col(id_column)], sample_size).drop("draw", "rank")
 
 

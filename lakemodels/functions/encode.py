@@ -24,11 +24,13 @@ JSON_ELEMENTS = ("json", "jsonb")
 
 
 def nan_to_null(value: Column, kind: T.DataType) -> Column:
-    """NaN counts as null, in scalars, array elements and struct members."""
+    """NaN counts as null, in scalars, array elements, map values and struct members."""
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.when(~F.isnan(value), value)
     if isinstance(kind, T.ArrayType) and _has_float(kind.elementType):
         return F.transform(value, lambda v: nan_to_null(v, kind.elementType))
+    if isinstance(kind, T.MapType) and _has_float(kind.valueType):
+        return F.transform_values(value, lambda _, v: nan_to_null(v, kind.valueType))
     if isinstance(kind, T.StructType) and _has_float(kind):
         members = [nan_to_null(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
         return F.when(value.isNotNull(), F.struct(*members))
@@ -42,10 +44,32 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
     return df.select(*[nan_to_null(col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+def is_json_container(value: Column) -> Column:
+    """Whether a text is one JSON object or array from its first to its last character.
+
+    Spark's parsers stop behind the first value. So the text is put into a list in front of its own
+    digest: only if the list has two items and the second is the digest, the text was one whole value.
+    Repeated keys are allowed; strings in single quotes are not.
+    """
+    digest = F.sha2(value, 256)
+    listed = F.concat(F.lit("["), value, F.lit(',"'), digest, F.lit('"]'))
+    whole = (F.json_array_length(listed) == 2) & (F.get_json_object(listed, "$[1]") == digest)
+    outside = F.regexp_replace(value, r'"(?:[^"\\]|\\.)*"', "")
+    return F.coalesce(value.rlike(r"^\s*[{\[]") & whole & ~F.contains(outside, F.lit("'")), F.lit(False))
+
+
 def encode_json_text(value: Column) -> Column:
     """JSON objects and arrays given as text pass; any other text becomes a JSON string."""
-    is_json = value.rlike(r"^\s*[{\[]") & F.try_parse_json(value).isNotNull()
-    return F.when(is_json, value).otherwise(F.to_json(value.cast("variant")))
+    return F.when(is_json_container(value), value).otherwise(F.to_json(value.cast("variant")))
+
+
+def variant_of_text(value: Column) -> Column:
+    """A variant that loses nothing of a text.
+
+    A JSON container is stored as its value, any other text as a string. So is a container that repeats
+    a key, which a variant cannot hold.
+    """
+    return F.coalesce(F.try_parse_json(encode_json_text(value)), F.parse_json(F.to_json(value.cast("variant"))))
 
 
 def encode_json_value(value: Column, kind: T.DataType) -> Column:
@@ -83,10 +107,14 @@ def encode_bool(value: Column, kind: T.DataType) -> Column:
 
 def encode_timestamp(value: Column, separator: str = " ", with_offset: bool = False) -> Column:
     """ISO text; six fraction digits only where microseconds are not zero."""
+    if not with_offset:
+        # The plain cast knows no zone; date_format would move values in a gap of the session's zone.
+        text = F.replace(value.cast("string"), F.lit(" "), F.lit(separator))
+        fraction = F.rpad(F.substring_index(text, ".", -1), 6, "0")
+        return F.when(F.contains(text, F.lit(".")), F.concat_ws(".", F.substring_index(text, ".", 1), fraction)).otherwise(text)
     joint = "' '" if separator == " " else f"'{separator}'"
-    offset = "xxx" if with_offset else ""
-    whole = F.date_format(value, f"yyyy-MM-dd{joint}HH:mm:ss{offset}")
-    micros = F.date_format(value, f"yyyy-MM-dd{joint}HH:mm:ss.SSSSSS{offset}")
+    whole = F.date_format(value, f"yyyy-MM-dd{joint}HH:mm:ssxxx")
+    micros = F.date_format(value, f"yyyy-MM-dd{joint}HH:mm:ss.SSSSSSxxx")
     return F.when(F.date_trunc("second", value) == value, whole).otherwise(micros)
 
 
@@ -198,6 +226,8 @@ def _has_float(kind: T.DataType) -> bool:
         return True
     if isinstance(kind, T.ArrayType):
         return _has_float(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_float(kind.valueType)
     if isinstance(kind, T.StructType):
         return any(_has_float(f.dataType) for f in kind.fields)
     return False

@@ -11,13 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemodels.functions.encode import is_json_container
 from lakemodels.functions.types import database_type
 from lakemodels.operators.relational import col
 
 # Text patterns of the classes a text column can be found to hold.
 TEXT_PATTERNS = {
     "boolean": r"(?i)^(true|false)$",
-    "bigint": r"^[+-]?[0-9]{1,18}$",
+    "bigint": r"^[+-]?[0-9]{1,19}$",
     "numeric": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$",
     "double precision": r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$",
     "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
@@ -33,6 +34,7 @@ TEXT_PATTERNS = {
 ELEMENT_TYPES = {
     "BOOLEAN": "boolean[]",
     "BIGINT": "bigint[]",
+    "DECIMAL": "numeric[]",
     "DOUBLE": "double precision[]",
     "STRING": "text[]",
     "DATE": "date[]",
@@ -55,10 +57,16 @@ def infer_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def verdict(name: str) -> list[Column]:
         value = col(name)
         tests = {kind: value.rlike(pattern) for kind, pattern in TEXT_PATTERNS.items()}
-        tests["jsonb"] = tests["jsonb"] & F.try_parse_json(value).isNotNull()
+        # A text of the right form can still be no value: the 30th of February, 25 o'clock, too many digits.
+        for kind, spark_name in (("bigint", "bigint"), ("date", "date"), ("timestamp", "timestamp_ntz"), ("timestamptz", "timestamp")):
+            tests[kind] = tests[kind] & value.try_cast(spark_name).isNotNull()
+        for kind in ("time", "timetz"):
+            tests[kind] = tests[kind] & value.rlike(r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]")
+        tests["jsonb"] = is_json_container(value)
         every = F.lit("text")
         for kind in reversed(list(tests)):
-            every = F.when(F.every(tests[kind]), F.lit(kind)).otherwise(every)
+            passed = F.every(F.when(value.isNotNull(), tests[kind]))
+            every = F.when(passed, F.lit(kind)).otherwise(every)
         return [F.count(value).alias("non_null"), every.alias("inferred_type")]
 
     return _per_column(df, columns, verdict)
@@ -73,6 +81,7 @@ def infer_integer_widths(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def verdict(name: str) -> list[Column]:
         value = col(name).cast("decimal(38,0)")
+        whole = F.every(col(name).cast("double") == F.floor(col(name).cast("double")))
         low, high = F.min(value), F.max(value)
         width = F.lit("numeric")
         for kind, limit in reversed(limits.items()):
@@ -81,7 +90,7 @@ def infer_integer_widths(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return [
             low.cast("string").alias("min_value"),
             high.cast("string").alias("max_value"),
-            F.when(low.isNull(), F.lit("bigint")).otherwise(width).alias("inferred_type"),
+            F.when(low.isNull(), F.lit("bigint")).when(whole, width).otherwise(F.lit("numeric")).alias("inferred_type"),
         ]
 
     return _per_column(df, columns, verdict)
@@ -119,22 +128,34 @@ def infer_decimals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def infer_json_arrays(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Array type of columns that hold JSON lists as text.
 
-    Lists of one scalar kind give an array type; mixed or nested lists, and
-    lists without any value, give jsonb. Rows: column_name, inferred_type.
+    Lists of one scalar kind give an array type: whole numbers are one kind, numbers with a fraction
+    or an exponent another. Mixed or nested lists, lists without any value, and texts that are no list
+    give jsonb. Rows: column_name, inferred_type.
     """
 
     def verdict(name: str) -> list[Column]:
-        shape = F.schema_of_variant_agg(F.parse_json(col(name)))
-        element = F.regexp_extract(shape, r"^ARRAY<(.+)>$", 1)
+        text = col(name)
+        items = F.when(is_json_container(text), F.try_parse_json(text)).try_cast("array<variant>")
+        # Kinds of one list; a list has few, whatever its length.
+        kinds = F.array_distinct(F.transform(items, lambda item: _element_kind(F.schema_of_variant(item))))
+        kinds = F.when(items.isNull(), F.array(F.lit("OTHER"))).otherwise(kinds)
+        every = F.array_remove(F.array_distinct(F.flatten(F.collect_set(F.when(text.isNotNull(), kinds)))), "VOID")
         kind = F.lit("jsonb")
         for spark_name, array_type in ELEMENT_TYPES.items():
-            kind = F.when(element == spark_name, F.lit(array_type)).otherwise(kind)
-        kind = F.when(element.startswith("DECIMAL"), F.lit("numeric[]")).otherwise(kind)
+            kind = F.when((F.size(every) == 1) & (every[0] == spark_name), F.lit(array_type)).otherwise(kind)
         return [kind.alias("inferred_type")]
 
     return _per_column(df, columns, verdict)
 
 
+def _element_kind(shape: Column) -> Column:
+    """The kind of a list's item. A decimal is a number with a fraction (which may be zero) unless it is a
+    whole number that no bigint holds."""
+    beyond = shape.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$")
+    plain = F.when(beyond, F.lit("DECIMAL")).when(shape.startswith("DECIMAL"), F.lit("DOUBLE")).otherwise(shape)
+    return F.when(plain.isin(*ELEMENT_TYPES, "VOID"), plain).otherwise(F.lit("OTHER"))
+
+
 def _per_column(df: DataFrame, columns: Sequence[str], verdict) -> DataFrame:
     """One aggregate over all columns, turned into one row per column."""
     folded = [

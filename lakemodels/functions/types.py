@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemodels.functions.encode import encode_json_text, parse_bool
+from lakemodels.functions.encode import parse_bool, variant_of_text
 from lakemodels.operators.merge import check_unique_columns
 from lakemodels.operators.relational import col
 
@@ -52,41 +53,59 @@ TYPE_NAMES = {
     "varchar": "string",
 }
 
-_TYPE_TEXT = re.compile(r"[A-Za-z][A-Za-z0-9_\s(),\[\]]*")
-_WITH_ARGUMENTS = re.compile(r"([a-z ]+?) ?\( ?(\d+) ?(?:, ?(\d+) ?)?\)")
+_SIZED = re.compile(r"(?P<name>[a-z ]*[a-z]) ?\( ?(?P<size>\d+) ?(?:, ?(?P<scale>\d+) ?)?\)")
+_TEXT_LENGTH = {"varchar", "character varying", "char", "character"}
 
 
 def normalize_type_name(type_sql: str) -> str:
-    """Lower case, single spaces."""
-    return " ".join(type_sql.strip().lower().split())
+    """Lower case, every run of blanks one blank, none at the ends."""
+    return re.sub(r"\s+", " ", type_sql).strip().lower()
+
+
+@dataclass(frozen=True)
+class DatabaseType:
+    """A database type name taken apart: base name, numbers in brackets, array dimensions."""
+
+    name: str
+    size: int | None = None
+    scale: int | None = None
+    dimensions: int = 0
+
+    @classmethod
+    def parse(cls, type_sql: str) -> DatabaseType:
+        text = normalize_type_name(type_sql)
+        element = re.sub(r"( ?\[ ?\])+$", "", text)
+        sized = _SIZED.fullmatch(element)
+        name = sized["name"] if sized else element
+        if name not in TYPE_NAMES:
+            raise ValueError(f"Unknown column type {type_sql!r}")
+        numbers = [int(sized[part]) if sized[part] else None for part in ("size", "scale")] if sized else [None, None]
+        return cls(name, *numbers, dimensions=text.count("["))
+
+    @property
+    def most_characters(self) -> int | None:
+        """The length that a character type enforces; a bare ``char`` holds one character."""
+        if self.name not in _TEXT_LENGTH:
+            return None
+        return self.size or (1 if self.name.startswith("char") and self.name != "character varying" else None)
 
 
 def spark_type(type_sql: str, spark: SparkSession | None = None) -> str:
     """The Spark DDL type for a database type name.
 
-    Lengths of character types are dropped; decimals keep precision and scale,
-    at most 38 digits. ``time`` needs Spark's TIME type; where the session has
-    it switched off the column is stored as text.
+    Decimals keep precision and scale, at most 38 digits. ``time`` needs Spark's TIME type; where the
+    session has it switched off the column is stored as text.
     """
-    name = normalize_type_name(type_sql)
-    if not name:
-        raise ValueError("A column type must not be empty")
-    if not _TYPE_TEXT.fullmatch(name):
-        raise ValueError(f"Unsupported characters in column type {type_sql!r}")
-    if name.endswith("[]"):
-        return f"array<{spark_type(name[:-2], spark)}>"
-    sized = _WITH_ARGUMENTS.fullmatch(name)
-    if sized and sized[1] in ("numeric", "decimal"):
-        precision, scale = int(sized[2]), int(sized[3] or 0)
-        if precision > 38 or scale > precision:
+    wanted = DatabaseType.parse(type_sql)
+    stored = TYPE_NAMES[wanted.name]
+    if wanted.size is not None and wanted.name in ("numeric", "decimal"):
+        scale = wanted.scale or 0
+        if wanted.size > 38 or scale > wanted.size:
             raise ValueError(f"{type_sql!r}: Spark decimals hold at most 38 digits, scale within precision")
-        return f"decimal({precision},{scale})"
-    base = TYPE_NAMES.get(sized[1] if sized else name)
-    if base is None:
-        raise ValueError(f"Unknown column type {type_sql!r}")
-    if base.startswith("time(") and not _time_type_enabled(spark):
-        return "string"
-    return base
+        stored = f"decimal({wanted.size},{scale})"
+    if stored.startswith("time(") and not _time_type_enabled(spark):
+        stored = "string"
+    return "array<" * wanted.dimensions + stored + ">" * wanted.dimensions
 
 
 def database_type(kind: T.DataType) -> str:
@@ -179,14 +198,27 @@ def _cast(field: T.StructField, pin: str, spark: SparkSession) -> Column:
         if isinstance(field.dataType, T.VariantType):
             return value
         if isinstance(field.dataType, T.StringType):
-            return F.parse_json(encode_json_text(value))
+            return variant_of_text(value)
         return value.cast("variant")
     if pin == "uuid":
         return F.lower(F.trim(value.cast("string")))
     if pin == "boolean" and isinstance(field.dataType, T.StringType):
         return parse_bool(value)
+    most = DatabaseType.parse(pin).most_characters
+    if most is not None and not pin.endswith("]"):
+        return _at_most(value.cast("string"), most, field.name, pin)
     return value.cast(spark_type(pin, spark))
 
 
+def _at_most(value: Column, characters: int, name: str, pin: str) -> Column:
+    """The text if it fits; blanks beyond the length are cut off, anything else there fails the job."""
+    over = F.concat(F.lit(f"Value of {name} is too long for {pin}: "), value)
+    return (
+        F.when(F.length(value) <= characters, value)
+        .when(F.length(F.rtrim(value)) <= characters, F.substring(value, 1, characters))
+        .when(value.isNotNull(), F.raise_error(over))
+    )
+
+
 def _time_type_enabled(spark: SparkSession | None) -> bool:
     return bool(spark) and spark.conf.get("spark.sql.timeType.enabled", "false") == "true"

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemodels.operators.names import Names, as_names, drift_between
 from lakemodels.operators.relational import anti_join, col, quoted, split_null_keys, union_all
 
 _NEW = "__lm_new"
@@ -45,6 +46,8 @@ def merge_frames(
     target columns) limits the target rows that may match. ``batch_column``
     numbers several batches that are applied in ascending order in one step.
     """
+    if predicate and batch_column:
+        raise ValueError("A predicate cannot be combined with batch_column: a batch may change what it says")
     keys = checked_keys(keys, target.columns)
     extra = [c for c in [*(order_by or []), batch_column] if c and c not in target.columns]
     rows = align_to(batch, target, extra)
@@ -83,6 +86,8 @@ def delete_insert_frames(
     With ``batch_column``, batches replace each other in ascending order: of
     the rows with one key only those of the last batch stay.
     """
+    if predicate and batch_column:
+        raise ValueError("A predicate cannot be combined with batch_column: a batch may change what it says")
     keys = checked_keys(keys, target.columns)
     rows = align_to(batch, target, [batch_column] if batch_column and batch_column not in target.columns else [])
     rows, new_keyless = split_null_keys(rows, keys)
@@ -107,29 +112,18 @@ def append_frames(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def align_columns(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
-    """Put columns into the target's order; the two column sets must be equal."""
+    """Put columns into the target's order and spelling; both must have the same columns."""
     check_unique_columns(df.columns)
-    missing, new = column_drift(df.columns, target_columns)
-    if missing or new:
-        details = []
-        if missing:
-            details.append(f"missing from the model output: {missing}")
-        if new:
-            details.append(f"new in the model output (append_new_columns or a full refresh would add them): {new}")
-        raise ValueError(
-            "Model columns must equal the target's. " + "; ".join(details)
-            + f". Target: {list(target_columns)}; model: {df.columns}"
-        )
+    drift = drift_between(df.columns, target_columns)
+    if drift:
+        raise drift.error("append_new_columns or a full refresh can add columns")
     return df.select(*[col(c).alias(c) for c in target_columns])
 
 
 def align_to(batch: DataFrame, target: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Line up with ``target`` and cast to its column types; keep ``extra`` columns at the end."""
     extra = list(dict.fromkeys(extra))
-    by_lower = {c.lower(): c for c in batch.columns}
-    carried = [by_lower[c.lower()] for c in extra if c.lower() in by_lower]
-    if len(carried) != len(extra):
-        raise ValueError(f"Columns {extra} are not all in the batch: {batch.columns}")
+    carried = Names(batch.columns).resolve(extra, "Helper columns of the batch")
     align_columns(batch.drop(*carried), target.columns)
     return batch.select(
         *[col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields],
@@ -149,45 +143,26 @@ def widen_pair(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFram
     return cast_to_wide(target), cast_to_wide(batch)
 
 
-def column_drift(columns: Sequence[str], target_columns: Sequence[str]) -> tuple[list[str], list[str]]:
-    """(target columns missing from the frame, frame columns new to the target)."""
-    have = {c.lower() for c in columns}
-    want = {c.lower() for c in target_columns}
-    missing = [c for c in target_columns if c.lower() not in have]
-    new = [c for c in columns if c.lower() not in want]
-    return missing, new
-
-
 def check_unique_columns(columns: Sequence[str]) -> None:
-    """Reject frames without columns or with names that differ in case only."""
+    """Reject frames without columns, and names that only case tells apart."""
     if not columns:
         raise ValueError("The model returned a frame without columns")
-    seen: set[str] = set()
-    double = {c for c in columns if c.lower() in seen or seen.add(c.lower())}
-    if double:
-        raise ValueError(f"Ambiguous column names: {sorted(double)}. Give every column its own name.")
+    repeated = Names(columns).repeated()
+    if repeated:
+        raise ValueError(f"Ambiguous column names: {repeated}")
 
 
 def normalize_key(unique_key) -> list[str] | None:
-    """None, a name, or a list/tuple of names; an empty list means no key."""
-    if unique_key is None:
-        return None
-    if isinstance(unique_key, str):
-        return [unique_key]
-    if isinstance(unique_key, (list, tuple)):
-        return [str(k) for k in unique_key] or None
-    raise TypeError(f"unique_key must be a name or a list of names, not {type(unique_key).__name__}")
+    """The key columns as a list; None if there are none."""
+    return as_names(unique_key, "unique_key") or None
 
 
 def checked_keys(unique_key, columns: Sequence[str]) -> list[str]:
-    """Key columns, all present; required by merge and delete+insert."""
-    keys = normalize_key(unique_key)
+    """Key columns in the spelling of ``columns``; merge and delete+insert cannot do without."""
+    keys = as_names(unique_key, "unique_key")
     if not keys:
-        raise ValueError("merge and delete+insert need unique_key: a column name or a list of names")
-    missing = [k for k in keys if k not in columns]
-    if missing:
-        raise ValueError(f"unique_key columns {missing} are not in the model output: {list(columns)}")
-    return keys
+        raise ValueError("Rows can be matched by a unique_key only; append needs none")
+    return Names(columns).resolve(keys, "unique_key")
 
 
 def _winners(rows, keys, payload, order_by, batch_column) -> DataFrame:

@@ -7,21 +7,18 @@ the physical join remain Catalyst's.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import contextmanager
 from functools import reduce
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_JOIN_TYPES = {
-    "inner": "inner",
-    "left": "left",
-    "left outer": "left",
-    "right": "right",
-    "right outer": "right",
-    "full": "full",
-    "full outer": "full",
-    "cross": "cross",
-}
+from lakemodels.operators.names import Names, as_names
+
+# Plain outer and the two-word forms mean the same as in SQL.
+JOIN_KINDS = {kind: kind for kind in ("inner", "left", "right", "full", "cross")}
+JOIN_KINDS |= {f"{side} outer": side for side in ("left", "right", "full")} | {"outer": "full"}
 
 
 def quoted(name: str) -> str:
@@ -35,14 +32,27 @@ def col(name: str):
 
 def project(df: DataFrame, projection_sql: str) -> DataFrame:
     """``SELECT <projection_sql> FROM df``: columns, casts, DISTINCT, windows, aggregates."""
-    text = _sql_text(projection_sql, "projection")
-    escaped = text.replace("{", "{{").replace("}", "}}")
-    return df.sparkSession.sql(f"SELECT {escaped} FROM {{frame}}", frame=df)
+    with _only_one_clause(projection_sql):
+        # Braces would be read as placeholders of the frame.
+        select_list = projection_sql.replace("{", "{{").replace("}", "}}")
+        return df.sparkSession.sql(f"SELECT {select_list} FROM {{frame}}", frame=df)
 
 
 def keep(df: DataFrame, predicate_sql: str) -> DataFrame:
     """Rows for which the SQL predicate is true (not false, not null)."""
-    return df.where(_sql_text(predicate_sql, "predicate"))
+    with _only_one_clause(predicate_sql):
+        return df.where(predicate_sql)
+
+
+@contextmanager
+def _only_one_clause(sql: str):
+    """Let Spark's parser judge a piece of SQL; a statement behind it is none of its business."""
+    if not isinstance(sql, str) or not sql.strip() or sql.rstrip().endswith(";"):
+        raise ValueError(f"One SQL clause is expected, got {sql!r}")
+    try:
+        yield
+    except ParseException as error:
+        raise ValueError(f"Not one SQL clause: {sql!r}") from error
 
 
 def join_using(
@@ -61,37 +71,54 @@ def join_using(
     for the same plan for a left or right join whose *other* side has hot keys
     and is too large to be broadcast.
     """
-    if not isinstance(right, DataFrame):
-        raise TypeError("join_using expects a DataFrame as its right side")
-    if left.sparkSession.sparkContext is not right.sparkSession.sparkContext:
-        raise ValueError("Both sides of a join must belong to one Spark application")
-    kind = _JOIN_TYPES.get(str(how or "").strip().lower())
-    if kind is None:
-        raise ValueError(f"Unknown join type {how!r}; expected one of {sorted(_JOIN_TYPES)}")
+    _check_side(left, right)
+    kind = _join_kind(how)
     if kind == "cross":
-        if on:
-            raise ValueError("A cross join takes no `on`")
+        if on is not None:
+            raise ValueError("A cross join has no key columns")
         return left.crossJoin(right)
-
-    keys = join_keys(on)
-    for side, frame in (("left", left), ("right", right)):
-        missing = [k for k in keys if k not in frame.columns]
-        if missing:
-            raise ValueError(f"Join keys {missing} are not columns of the {side} side: {frame.columns}")
+    keys = shared_keys(on, left, right)
     if kind == "full" or (split_outer and kind in ("left", "right")):
         return _outer_by_parts(left, right, keys, kind)
     return left.join(right, on=keys, how=kind)
 
 
+def _check_side(left: DataFrame, right: DataFrame) -> None:
+    if not isinstance(right, DataFrame):
+        raise TypeError(f"A frame can be joined with a frame only, not with {type(right).__name__}")
+    if right.sparkSession.sparkContext is not left.sparkSession.sparkContext:
+        raise ValueError("The two frames belong to different Spark applications")
+
+
+def _join_kind(how: str) -> str:
+    spelled = " ".join(how.lower().replace("_", " ").split())
+    try:
+        return JOIN_KINDS[spelled]
+    except KeyError:
+        raise ValueError(f"No join of kind {how!r}; there are {', '.join(JOIN_KINDS)}") from None
+
+
+def shared_keys(on: str | Iterable[str] | None, *frames: DataFrame) -> list[str]:
+    """Key columns in the spelling of the first frame, looked up in all of them; without a key Spark would join all pairs."""
+    try:
+        asked = as_names(on, "A join")
+    except TypeError as error:
+        raise ValueError(str(error)) from error
+    if not asked:
+        raise ValueError("A join needs a key column at least")
+    spelled = [Names(frame.columns).resolve(asked, "Join key") for frame in frames]
+    return spelled[0]
+
+
 def anti_join(left: DataFrame, right: DataFrame, on: str | Iterable[str]) -> DataFrame:
     """Rows of ``left`` without a match. Right keys are made distinct before the shuffle."""
-    keys = join_keys(on)
+    keys = shared_keys(on, left, right)
     return left.join(right.select(*map(col, keys)).distinct(), on=keys, how="left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: str | Iterable[str]) -> DataFrame:
     """Rows of ``left`` with a match. Right keys are made distinct before the shuffle."""
-    keys = join_keys(on)
+    keys = shared_keys(on, left, right)
     return left.join(right.select(*map(col, keys)).distinct(), on=keys, how="left_semi")
 
 
@@ -103,26 +130,6 @@ def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     return result
 
 
-def join_keys(on: str | Iterable[str] | None) -> list[str]:
-    """Normalize ``on`` to a non-empty list of names; Spark would cross join without keys."""
-    if on is None:
-        names = []
-    elif isinstance(on, str):
-        names = [on]
-    else:
-        try:
-            names = list(on)
-        except TypeError:
-            raise ValueError(f"`on` must be a column name or a list of names, not {on!r}") from None
-    keys = [str(n).strip() for n in names if str(n).strip()]
-    if not keys:
-        raise ValueError("A join needs `on`: a column name or a list of names")
-    for key in keys:
-        if ";" in key or '"' in key:
-            raise ValueError(f"Invalid join key {key!r}")
-    return keys
-
-
 def _outer_by_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: str) -> DataFrame:
     left_rest = [c for c in left.columns if c not in keys]
     right_rest = [c for c in right.columns if c not in keys]
@@ -147,12 +154,3 @@ def split_null_keys(df: DataFrame, keys: Iterable[str]) -> tuple[DataFrame, Data
     """Rows with all keys present, and rows with a null among them (a filter the scan can prune by)."""
     missing = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
     return df.where(~missing), df.where(missing)
-
-
-def _sql_text(text: str, what: str) -> str:
-    stripped = str(text or "").strip()
-    if not stripped:
-        raise ValueError(f"The {what} must not be empty")
-    if ";" in stripped:
-        raise ValueError(f"The {what} must not contain a semicolon")
-    return stripped

@@ -11,13 +11,26 @@ from lakemodels.operators.relational import col
 from lakemodels.sources.workspace import freeze
 
 
+# Spark's own bound on limits it pushes below the shuffle of a window; parts of a group beyond it.
+GROUP_LIMIT = 1000
+SHARES = 64
+
+
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of every group, numbered from 1.
 
-    Spark turns this filter into a group limit before the shuffle, so a hot
-    group sends at most ``n`` rows per map task to the task that ranks it.
+    Up to ``GROUP_LIMIT`` Spark turns this filter into a group limit before the
+    shuffle, so a hot group sends at most ``n`` rows per map task to the task
+    that ranks it. For a larger ``n`` it has no such step: there every group is
+    first ranked in ``SHARES`` parts, of which only the first ``n`` rows each
+    go on. The choice hangs on the argument, not on the data.
     """
     window = Window.partitionBy(*map(col, group)).orderBy(*order)
+    if n > GROUP_LIMIT:
+        # Any even spread will do: the second rank puts the parts together again.
+        parted = df.withColumn("__share", F.pmod(F.xxhash64(*map(col, df.columns)), F.lit(SHARES)))
+        part = Window.partitionBy(*map(col, group), "__share").orderBy(*order)
+        df = parted.withColumn(rank, F.row_number().over(part)).where(F.col(rank) <= n).drop("__share", rank)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 

@@ -355,7 +355,7 @@ def infer_decimal(spark, folder):
     ), long AS (UNPIVOT o ON COLUMNS(*) INTO NAME column_name VALUE v),
     parts AS (SELECT column_name, unnest(CAST(json_extract(v, '$[*]') AS JSON[])) AS e FROM long),
     kinds AS (SELECT DISTINCT column_name, CASE json_type(e) WHEN 'UBIGINT' THEN 'bigint[]' WHEN 'BIGINT' THEN 'bigint[]'
-                  WHEN 'DOUBLE' THEN 'numeric[]' WHEN 'VARCHAR' THEN 'text[]' WHEN 'BOOLEAN' THEN 'boolean[]'
+                  WHEN 'DOUBLE' THEN 'double precision[]' WHEN 'VARCHAR' THEN 'text[]' WHEN 'BOOLEAN' THEN 'boolean[]'
                   WHEN 'NULL' THEN NULL ELSE 'jsonb' END AS kind FROM parts)
     SELECT column_name, CASE WHEN count(kind) = 1 THEN max(kind) ELSE 'jsonb' END AS inferred_type
     FROM kinds GROUP BY column_name

@@ -24,17 +24,16 @@ from pyspark.sql import functions as F
 from lakemodels.functions.encode import normalize_nulls
 from lakemodels.functions.types import pin_types
 from lakemodels.operators.merge import (
-    align_columns,
     align_to,
     append_frames,
     check_unique_columns,
     checked_keys,
-    column_drift,
     delete_insert_frames,
     merge_frames,
     normalize_key,
     widen_pair,
 )
+from lakemodels.operators.names import Drift, drift_between
 from lakemodels.operators.relational import col
 from lakemodels.sources.scan import relation_kind, table_name
 from lakemodels.sources.workspace import fresh_dir, remove_dir
@@ -42,6 +41,8 @@ from lakemodels.sources.workspace import fresh_dir, remove_dir
 STRATEGIES = ("append", "merge", "delete+insert")
 SCHEMA_MODES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
 _BACKING = "lakemodels.backing"
+# Set on every table this library writes: only the folders of such tables are deleted with them.
+_OWNED = "lakemodels.owned"
 _LISTED_PARTITIONS = 5_000
 
 # Text for columns of these types is parsed by the encoders' rules, not by a plain cast.
@@ -96,14 +97,26 @@ def write_view(
     create_schema(spark, name)
     kind = relation_kind(spark, name)
     former = _properties(spark, name).get(_BACKING) if kind == "view" else None
-    backing = f"{name}__data_{uuid.uuid4().hex[:8]}"
+    nonce = uuid.uuid4().hex[:8]
+    backing, old = f"{name}__data_{nonce}", f"{name}__old_{nonce}"
     rows = _save(result, backing, (), {})
+    try:
+        if kind == "table":
+            _rename(spark, name, old)
+        try:
+            spark.sql(
+                f"CREATE OR REPLACE VIEW {_sql(name)} TBLPROPERTIES ('{_BACKING}' = '{backing}') "
+                f"AS SELECT * FROM {_sql(backing)}"
+            )
+        except Exception:
+            if kind == "table":
+                _rename(spark, old, name)
+            raise
+    except Exception:
+        drop_relation(spark, backing)
+        raise
     if kind == "table":
-        drop_relation(spark, name)
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {_sql(name)} TBLPROPERTIES ('{_BACKING}' = '{backing}') "
-        f"AS SELECT * FROM {_sql(backing)}"
-    )
+        drop_relation(spark, old)
     if former:
         drop_relation(spark, former)
     return Written(name, rows)
@@ -149,6 +162,8 @@ def write_incremental(
     if on_schema_change not in SCHEMA_MODES:
         raise ValueError(f"Unknown on_schema_change {on_schema_change!r}; expected one of {SCHEMA_MODES}")
     check_unique_columns(df.columns)
+    if predicate and batch_column:
+        raise ValueError("A predicate cannot be combined with batch_column: a batch may change what it says")
 
     spark = df.sparkSession
     if full_refresh or relation_kind(spark, name) != "table":
@@ -160,14 +175,17 @@ def write_incremental(
     target = spark.table(name)
     helpers = [c for c in dict.fromkeys([batch_column, *(order_by or [])]) if c and c not in target.columns]
     model_columns = [c for c in df.columns if c not in helpers]
-    missing, new = column_drift(model_columns, target.columns)
+    missing, new = drift_between(model_columns, target.columns)
     if strategy != "append":
         keys = checked_keys(keys, model_columns)
-    if missing or new:
-        if not _drift_allowed(df, model_columns, target.columns, missing, new, on_schema_change):
+    readers: list[str] = []
+    drift = Drift(missing, new)
+    if drift and not _drift_allowed(drift, on_schema_change):
+        if df.isEmpty():
             return Written(name, 0)
-        if missing:
-            _check_dependents(spark, name, missing, cascade)
+        raise drift.error(f"on_schema_change is {on_schema_change}")
+    if missing:
+        readers = _droppable_readers(spark, name, missing, cascade)
 
     pins = {c: t for c, t in (column_types or {}).items() if c in new}
     pins |= {f.name: t for f in target.schema.fields if f.name in model_columns
@@ -183,7 +201,8 @@ def write_incremental(
         rows = _observed(batch, lambda frame: frame.write.parquet(staged))
         if rows:
             settings = _Change(
-                name, strategy, keys, missing, new, helpers, order_by, predicate, batch_column, widen, properties or {}
+                name, strategy, keys, missing, new, helpers, order_by, predicate, batch_column, widen, properties or {},
+                readers,
             )
             _apply_batch(spark.read.parquet(staged), target, settings)
     finally:
@@ -206,6 +225,7 @@ class _Change:
     batch_column: str | None
     widen: bool
     properties: Mapping[str, str]
+    readers: list[str]
 
 
 def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
@@ -239,7 +259,7 @@ def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
         return delete_insert_frames(existing, batch.drop(*unneeded), keys, change.predicate, change.batch_column)
 
     if rebuild:
-        _publish(applied(target), name, stored_by, {**_own_properties(spark, name), **change.properties})
+        _publish(applied(target), name, stored_by, {**_own_properties(spark, name), **change.properties}, change.readers)
     elif change.strategy == "append":
         _append(batch.drop(*change.helpers), name)
     else:
@@ -259,7 +279,7 @@ def create_schema(spark: SparkSession, name: str) -> None:
 
 
 def drop_relation(spark: SparkSession, name: str) -> None:
-    """Drop a table with its folder, or a view with its backing table."""
+    """Drop a table, or a view with its backing table. The folder goes too if this library wrote the table."""
     kind = relation_kind(spark, name)
     if kind == "view":
         backing = _properties(spark, name).get(_BACKING)
@@ -267,48 +287,97 @@ def drop_relation(spark: SparkSession, name: str) -> None:
         if backing:
             drop_relation(spark, backing)
     elif kind == "table":
+        owned = _properties(spark, name).get(_OWNED) == "true"
         location = _location(spark, name)
         spark.sql(f"DROP TABLE IF EXISTS {_sql(name)}")
-        remove_dir(spark, location)
+        if owned:
+            remove_dir(spark, location)
 
 
 def dependent_views(spark: SparkSession, name: str) -> list[str]:
-    """Views in the table's schema whose text names the table."""
-    parts = name.split(".")
-    schema = table_name(*parts[:-1]) if len(parts) > 1 else table_name(spark.catalog.currentDatabase())
-    mention = re.compile(rf"(?<![\w]){re.escape(parts[-1])}(?![\w])", re.IGNORECASE)
+    """Views of any schema that read the table, itself or through another view.
+
+    Spark resolves each view; the tables it then reads stand in the plan with their full names.
+    """
+    wanted = _full_name(spark, name)
     found = []
-    for row in spark.sql(f"SHOW VIEWS IN {schema}").collect():
-        if row.isTemporary:
-            continue
-        view = ".".join([*parts[:-1], row.viewName])
-        described = spark.sql(f"DESCRIBE EXTENDED {_sql(view)}").where("col_name = 'View Text'").first()
-        if described and mention.search(described.data_type):
-            found.append(view)
+    for schema in spark.sql("SHOW SCHEMAS").collect():
+        for row in spark.sql(f"SHOW VIEWS IN {table_name(schema.namespace)}").collect():
+            view = f"{schema.namespace}.{row.viewName}"
+            if not row.isTemporary and wanted in _relations_read(spark, view):
+                found.append(view)
     return found
 
 
+def _full_name(spark: SparkSession, name: str) -> str:
+    parts = name.split(".")
+    if len(parts) == 1:
+        parts = [spark.catalog.currentDatabase(), *parts]
+    if len(parts) == 2:
+        parts = [spark.catalog.currentCatalog(), *parts]
+    return ".".join(parts).lower()
+
+
+def _relations_read(spark: SparkSession, view: str) -> set[str]:
+    """Full names of all relations that a view resolves to; none if it no longer resolves."""
+    plan = spark.sql(f"EXPLAIN EXTENDED SELECT * FROM {_sql(view)}").first()[0]
+    names = re.findall(r"SubqueryAlias (\S+), ?|SubqueryAlias (\S+)", plan)
+    return {(a or b).replace("`", "").lower() for a, b in names if (a or b).count(".") == 2}
+
+
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return _properties(spark, name)
 
 
-def _publish(df: DataFrame, name: str, partition_by: Sequence[str], properties: Mapping[str, str]) -> int:
-    """Write beside the old version, then swap names in the catalog."""
+def _publish(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str],
+    properties: Mapping[str, str],
+    readers: Sequence[str] = (),
+) -> int:
+    """Write beside the old version, then swap names in the catalog.
+
+    If a step of the swap fails, the old version gets its name back and the new one is dropped.
+    ``readers`` are views that cannot live with the new version; they go when it is complete.
+    """
     spark = df.sparkSession
     nonce = uuid.uuid4().hex[:8]
     stage, old = f"{name}__stage_{nonce}", f"{name}__old_{nonce}"
     rows = _save(df, stage, partition_by, properties)
-    kind = relation_kind(spark, name)
-    if kind == "view":
-        drop_relation(spark, name)
-    elif kind == "table":
-        spark.sql(f"ALTER TABLE {_sql(name)} RENAME TO {_sql(old)}")
-    spark.sql(f"ALTER TABLE {_sql(stage)} RENAME TO {_sql(name)}")
+    kind, moved = relation_kind(spark, name), False
+    try:
+        if kind == "table":
+            _rename(spark, name, old)
+            moved = True
+        elif kind == "view":
+            # A view cannot be renamed across kinds; its definition is kept to restore it.
+            definition = spark.sql(f"SHOW CREATE TABLE {_sql(name)}").first()[0]
+            spark.sql(f"DROP VIEW {_sql(name)}")
+        try:
+            _rename(spark, stage, name)
+        except Exception:
+            if kind == "view":
+                spark.sql(definition)
+            raise
+    except Exception:
+        if moved:
+            _rename(spark, old, name)
+        drop_relation(spark, stage)
+        raise
     if kind == "table":
         drop_relation(spark, old)
+    elif kind == "view" and (backing := re.search(rf"'{re.escape(_BACKING)}' = '([^']+)'", definition)):
+        drop_relation(spark, backing[1])
+    for view in readers:
+        drop_relation(spark, view)
     return rows
 
 
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {_sql(name)} RENAME TO {_sql(to)}")
+
+
 def _save(df: DataFrame, name: str, partition_by: Sequence[str], properties: Mapping[str, str]) -> int:
     spark = df.sparkSession
     path = f"{_schema_location(spark, name)}/{name.split('.')[-1]}"
@@ -325,7 +394,7 @@ def _save(df: DataFrame, name: str, partition_by: Sequence[str], properties: Map
     except Exception:
         remove_dir(spark, path)
         raise
-    _set_properties(spark, name, properties)
+    _set_properties(spark, name, {**properties, _OWNED: "true"})
     return rows
 
 
@@ -363,29 +432,20 @@ def _first_load(df, strategy, keys, order_by, batch_column) -> DataFrame:
     return delete_insert_frames(empty, df.drop(*(order_by or [])), keys, batch_column=batch_column)
 
 
-def _drift_allowed(df, model_columns, target_columns, missing, new, mode: str) -> bool:
-    """True if the batch may change the schema, False if it is empty; raises if drift is refused."""
-    if df.isEmpty():
-        return False
-    if mode == "fail":
-        raise ValueError(f"Schema drift: new in model {new}; missing from model {missing}")
-    if mode == "ignore":
-        align_columns(df.select(*map(col, model_columns)), target_columns)
-    if mode == "append_new_columns" and missing:
-        align_columns(df.select(*map(col, model_columns)), [*target_columns, *new])
-    return True
+def _drift_allowed(drift: Drift, mode: str) -> bool:
+    """Whether the mode lets the target's columns follow the model's."""
+    return mode == "sync_all_columns" or (mode == "append_new_columns" and not drift.missing)
 
 
-def _check_dependents(spark, name, dropped: Sequence[str], cascade: bool) -> None:
-    """Dropping columns is refused while views read the table, unless they may be dropped too."""
+def _droppable_readers(spark, name, dropped: Sequence[str], cascade: bool) -> list[str]:
+    """Views that read the table and go with its dropped columns; without ``cascade`` they forbid the drop."""
     views = dependent_views(spark, name)
     if views and not cascade:
         raise ValueError(
             f"Cannot drop columns {list(dropped)} of {name}: views {views} read it. "
             "Drop them, run a full refresh, or set cascade."
         )
-    for view in views:
-        drop_relation(spark, view)
+    return views
 
 
 def _has_null_keys(batch: DataFrame, keys: Sequence[str]) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,8 +105,17 @@ def target_columns(spark: SparkSession, name: str) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields]
 
 
+def reads_files(df: DataFrame) -> bool:
+    """Whether the rows of a frame still know the file they come from."""
+    try:
+        df.select("_metadata.file_path").schema  # noqa: B018
+    except AnalysisException:
+        return False
+    return True
+
+
 def file_sizes(df: DataFrame) -> DataFrame:
-    """Rows and bytes per file of a file-based frame, in one pass over the footers."""
+    """Rows and bytes per file of a file-based frame. One pass; of the columns only the file's name and size are read."""
     return df.groupBy(
         F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
     ).agg(F.count(F.lit(1)).alias("n_rows"))

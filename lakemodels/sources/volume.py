@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemodels.sources.scan import file_sizes
+from lakemodels.sources.scan import file_sizes, reads_files
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,9 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def relation_bytes(df: DataFrame) -> DataFrame:
-    """One row ``n_bytes``: total size of the files of a scan; null for an empty relation."""
+    """One row ``n_bytes``: total size of the files of a scan; null for an empty or a derived relation."""
+    if not reads_files(df):
+        return df.sparkSession.sql("SELECT CAST(NULL AS BIGINT) AS n_bytes")
     return file_sizes(df).agg(F.sum("file_size").alias("n_bytes"))
 
 
@@ -53,9 +55,10 @@ def volume_check(df: DataFrame, limits: VolumeLimits, for_batches: bool = False,
     """One row: n_rows, n_bytes and a status of ok, warn or fail.
 
     Limits are strict. ``allow_large_tables`` turns a fail into a warning, and so
-    does ``chunked_mode`` for reads in batches only.
+    does ``chunked_mode`` for reads in batches only. The size of a join, an
+    aggregate or a range is unknown: ``n_bytes`` is null, and rows alone decide.
     """
-    if with_bytes:
+    if with_bytes and reads_files(df):
         totals = file_sizes(df).agg(
             F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.sum("file_size").alias("n_bytes")
         )

@@ -3,11 +3,12 @@ import re
 
 import numpy as np
 import pytest
+import synthetic
 from pyspark.sql import functions as F
 
 from lakemodels.analytics import isoforest, kmeans, scaling, tfidf
 from lakemodels.operators.quantile import exact_quantile, flag_low
-from lakemodels.sources import synthetic
+from lakemodels.operators.windows import GROUP_LIMIT, top_per_group
 
 
 def brute_force_neighbours(texts, n, max_df=0.95, stop=()):
@@ -159,3 +160,30 @@ def test_tree_samples_are_bounded_and_repeatable(spark):
         assert set(per_tree.values()) == {min(256, rows_used.count())} and len(per_tree) == 20
         assert sample.exceptAll(isoforest.tree_samples(rows_used, "id", 20, 256, 1)).isEmpty()
         assert sample.count() == sample.select("tree", "id").distinct().count()
+
+
+@pytest.mark.parametrize("n", [3, GROUP_LIMIT + 1])
+def test_top_rows_of_a_hot_group(spark, n):
+    frame = spark.range(6000).selectExpr("IF(id < 5000, 0, 1) AS g", "pmod(xxhash64(id), 100000) AS v", "id")
+    got = top_per_group(frame, ["g"], [F.col("v"), F.col("id")], n)
+    wanted = {}
+    for r in frame.collect():
+        wanted.setdefault(r.g, []).append((r.v, r.id))
+    wanted = {(g, i, k + 1) for g, rows in wanted.items() for k, (_, i) in enumerate(sorted(rows)[:n])}
+    assert {(r.g, r.id, r["rank"]) for r in got.collect()} == wanted and got.columns == ["g", "v", "id", "rank"]
+
+
+def test_every_group_is_limited_before_it_meets_in_one_task(spark):
+    frame = spark.range(10).selectExpr("id % 2 AS g", "id")
+    small = top_per_group(frame, ["g"], [F.col("id")], 500)._jdf.queryExecution().executedPlan().toString()
+    large = top_per_group(frame, ["g"], [F.col("id")], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in small and "__share" in large and "__share" not in small
+
+
+def test_tree_samples_follow_one_rule_at_every_size(spark):
+    for n in (600, 50_000):
+        samples = isoforest.tree_samples(spark.range(n), "id", 100, 256, 42)
+        sizes, distinct = samples.groupBy("tree").count().agg(F.min("count"), F.max("count")).first(), samples.select("id").distinct().count()
+        assert tuple(sizes) == (256, 256) and distinct < 25_600
+    # No row is expanded into all trees before its draws are made.
+    assert "Generate explode(filter(" in samples._jdf.queryExecution().optimizedPlan().toString()

@@ -350,3 +350,61 @@ def test_json_and_boolean_columns_keep_their_parsing(spark, schema):
     write_incremental(spark.createDataFrame([(2, "plain", "off")], first.schema), name, "merge", "id")
     got = spark.table(name).select("id", F.to_json("doc"), "flag").orderBy("id").collect()
     assert [tuple(r) for r in got] == [(1, '{"a":1}', True), (2, '"plain"', False)]
+
+
+def test_foreign_files_are_left_alone(spark, schema, target, tmp_path):
+    folder = str(tmp_path / "theirs")
+    target.write.parquet(folder)
+    spark.sql(f"CREATE TABLE {schema}.t USING parquet LOCATION '{folder}'")
+    write_table(spark.range(2), f"{schema}.t")
+    assert spark.read.parquet(folder).count() == len(TARGET)
+    assert spark.table(f"{schema}.t").count() == 2
+
+
+def test_dependents_are_resolved_not_guessed(spark, schema):
+    name, other = f"{schema}.orders", f"{schema}_views"
+    write_table(spark.createDataFrame([(0, "z")], "id bigint, name string"), name)
+    spark.sql(f"CREATE SCHEMA {other}")
+    spark.sql(f"CREATE VIEW {schema}.unrelated AS SELECT 1 AS orders")
+    spark.sql(f"CREATE VIEW {other}.far AS SELECT name FROM {name}")
+    spark.sql(f"CREATE VIEW {other}.farther AS SELECT * FROM {other}.far")
+    assert sorted(dependent_views(spark, name)) == [f"{other}.far", f"{other}.farther"]
+    slim = spark.createDataFrame([(1,)], "id bigint")
+    bad = slim.withColumn("id", F.raise_error(F.lit("boom")).cast("bigint"))
+    with pytest.raises(Exception, match="boom"):
+        write_incremental(bad, name, "append", on_schema_change="sync_all_columns", cascade=True)
+    assert relation_kind(spark, f"{other}.far") == "view"
+    write_incremental(slim, name, "append", on_schema_change="sync_all_columns", cascade=True)
+    assert relation_kind(spark, f"{other}.far") is None and relation_kind(spark, f"{schema}.unrelated") == "view"
+    spark.sql(f"DROP SCHEMA {other}")
+
+
+@pytest.mark.parametrize("kind", ["table", "view"])
+def test_a_failing_swap_gives_the_old_name_back(spark, schema, target, monkeypatch, kind):
+    from lakemodels.sinks import materialize as sink
+
+    name = f"{schema}.t"
+    (write_table if kind == "table" else write_view)(target, name)
+    rename = sink._rename
+
+    def failing(session, old, new):
+        if new == name and "__stage_" in old:
+            raise RuntimeError("no rename")
+        rename(session, old, new)
+
+    monkeypatch.setattr(sink, "_rename", failing)
+    with pytest.raises(RuntimeError, match="no rename"):
+        write_table(spark.range(3), name)
+    assert relation_kind(spark, name) == kind and spark.table(name).count() == len(TARGET)
+    assert not [t.name for t in spark.catalog.listTables(schema) if "__stage_" in t.name or "__old_" in t.name]
+
+
+def test_predicate_and_batches_exclude_each_other(spark, target, batch):
+    with pytest.raises(ValueError, match="predicate"):
+        merge_frames(target, batch, ["k"], predicate="n > 1", batch_column="n")
+    with pytest.raises(ValueError, match="predicate"):
+        delete_insert_frames(target, batch, ["k"], predicate="n > 1", batch_column="n")
+
+
+def test_keys_are_found_in_any_case(target, batch):
+    assert rows(merge_frames(target, batch, ["K"])) == MERGED

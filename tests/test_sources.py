@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakemodels.operators.batches import map_batches
 from lakemodels.operators.context import ModelContext, run_model, run_sql_model
-from lakemodels.sources import synthetic
+import synthetic
 from lakemodels.sources.scan import jdbc_options, read_ref, read_seed, read_source, ref_key, stage_casts
 from lakemodels.sources.volume import LOCAL_LIMITS, VolumeLimits, enforce_volume, relation_bytes, volume_check
 from lakemodels.sources.workspace import fresh_dir, shared_dir
@@ -156,3 +156,12 @@ def test_synthetic_rows(spark):
     placed = synthetic.orders(spark, 500)
     assert placed.count() == 505 and placed.where("order_id < 0").count() == 5
     assert rows(placed) == rows(synthetic.orders(spark, 500))
+
+
+def test_volume_of_derived_frames(spark, data):
+    orders = spark.read.parquet(f"{data}/orders.parquet")
+    joined = orders.join(spark.read.parquet(f"{data}/customer.parquet"), orders.o_custkey == F.col("c_custkey"))
+    for frame in (joined, orders.groupBy("o_custkey").count(), spark.range(5)):
+        check = volume_check(frame, VolumeLimits(max_rows=2, max_bytes=1)).first()
+        assert check.n_bytes is None and check.status == "fail" and check.n_rows == frame.count()
+        assert relation_bytes(frame).first().n_bytes is None

@@ -1,5 +1,6 @@
 import datetime as dt
 import decimal
+import json
 
 import pytest
 from conftest import rows
@@ -15,6 +16,7 @@ from lakemodels.functions.encode import (
     encode_json_value,
     encode_scalar,
     encode_timestamp,
+    is_json_container,
     normalize_nulls,
     parse_bool,
 )
@@ -32,7 +34,7 @@ def test_row_of_array_json_and_binary(spark):
     assert encode_frame(frame).first() == ("{1,2}", '{"a":1}', "\\x0001")
 
 
-@pytest.mark.parametrize("text", ["plain-text", "true", "123", "null"])
+@pytest.mark.parametrize("text", ["no json here", "false", "-77", "nil", "null"])
 def test_json_scalars_given_as_text_become_strings(spark, text):
     assert one(spark, text, "string", lambda c, _: encode_json_text(c)) == f'"{text}"'
 
@@ -249,7 +251,8 @@ def test_integer_widths(spark, low, high, kind):
 @pytest.mark.parametrize(
     "values, kind",
     [
-        (["[1, null]", "[]"], "bigint[]"), (['["a"]'], "text[]"), (["[true]"], "boolean[]"), (["[1.5]"], "numeric[]"),
+        (["[1, null]", "[]"], "bigint[]"), (['["a"]'], "text[]"), (["[true]"], "boolean[]"), (["[1.5]"], "double precision[]"), (["[2.0]", "[1e3]"], "double precision[]"), (["[1, 2.5]"], "jsonb"), (["[1]", "not a list"], "jsonb"),
+        (["[12345678901234567890]"], "numeric[]"),
         (['[1, "a"]'], "jsonb"), (["[[1]]"], "jsonb"), (["[null]"], "jsonb"), (['{"a":1}'], "jsonb"),
     ],
 )
@@ -277,3 +280,50 @@ def test_scalars(spark):
 def test_encoders_stay_in_the_jvm(spark, data):
     plan = encode_frame(spark.read.parquet(f"{data}/events.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_json_is_one_value_to_its_end(spark):
+    texts = {
+        '[1] Smith et al. (2020)': False, '{"a":1} and more': False, '[1],[2]': False, '[1],0] forged': False, '{"a":1,"a":2}': True,
+        " [1, 2] ": True, '{"it\'s": [true]}': True, "{'a': 1}": False, "[": False, "plain": False,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "c string")
+    got = {r.c: r.ok for r in frame.select("c", is_json_container(F.col("c")).alias("ok")).collect()}
+    assert got == texts
+    pinned = pin_types(frame, {"c": "jsonb"}).select(F.to_json("c").alias("j")).collect()
+    kept = {json.loads(r.j) if isinstance(json.loads(r.j), str) else r.j for r in pinned}
+    # Nothing is cut off: what a variant cannot hold as a value is there as text.
+    assert {"[1] Smith et al. (2020)", '{"a":1} and more', "[1],0] forged", '{"a":1,"a":2}', "[1,2]"} <= kept
+
+
+def test_timestamps_without_zone_do_not_move(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        frame = spark.sql("SELECT timestamp_ntz '2024-03-31 02:30:00' AS a, timestamp_ntz '2024-03-31 02:30:00.00012' AS b")
+        assert encode_frame(frame).first() == ("2024-03-31 02:30:00", "2024-03-31 02:30:00.000120")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_impossible_values_are_text(spark):
+    for texts in (["2023-02-30"], ["99:99:99"], ["2024-01-01 25:00:00"], ["2024-01-01", "x"]):
+        assert text_type(spark, *texts) == "text"
+    assert text_type(spark, "9223372036854775807") == "bigint"
+    assert text_type(spark, "9223372036854775808") == "numeric"
+
+
+def test_character_lengths_are_enforced(spark):
+    frame = spark.createDataFrame([("abc",), ("ab ",), (None,), ("abc  ",)], "c string")
+    assert [r.c for r in pin_types(frame, {"c": "varchar(3)"}).collect()] == ["abc", "ab ", None, "abc"]
+    with pytest.raises(Exception, match="too long"):
+        pin_types(frame, {"c": "character varying(2)"}).collect()
+
+
+def test_nan_in_map_values_is_null(spark):
+    frame = spark.sql("SELECT map('a', double('NaN'), 'b', 1.0D) AS m")
+    assert normalize_nulls(frame).first().m == {"a": None, "b": 1.0}
+
+
+def test_fractions_are_no_integers(spark):
+    frame = spark.createDataFrame([(1.5,), (2.0,)], "c double")
+    assert infer.infer_integer_widths(frame, ["c"]).first().inferred_type == "numeric"
