@@ -174,7 +174,7 @@ def test_top_rows_of_a_hot_group(spark, n):
 
 
 def test_every_group_is_limited_before_it_meets_in_one_task(spark):
-    frame = spark.range(10).selectExpr("id % 2 AS g", "id")
+    frame = spark.range(100_000).selectExpr("id % 2 AS g", "id")
     small = top_per_group(frame, ["g"], [F.col("id")], 500)._jdf.queryExecution().executedPlan().toString()
     large = top_per_group(frame, ["g"], [F.col("id")], 5000)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in small and "__share" in large and "__share" not in small
