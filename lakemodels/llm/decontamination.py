@@ -6,7 +6,8 @@ values they stand for are its slots. Since a copy may have lost its capitals, a
 keeps names as words.
 
 *Join.* Every run of ``words`` template words of a benchmark item (all of its words, if it has
-fewer) is a window, at least half of it plain words. Document windows join item windows by hash.
+fewer) is a window. One with more values than plain words (arithmetic, sequences, tables) is hashed
+with its numbers as they stand, so that it meets exact copies only. Document windows join item windows by hash.
 Before that shuffle a Bloom filter of fixed size drops windows that no item has; it can let
 windows through but loses none, and being a fixed number of bits it may be broadcast.
 
@@ -135,33 +136,41 @@ class Template:
         name = (flags & _CAPITAL > 0) & ~opened & ((kinds == _WORD) | (kinds == _UNIT))
         kept = np.flatnonzero((kinds != _SKIP) & ~unit)
         self.at = kept
+        literal = hashes.copy()
+        measured = np.flatnonzero(unit) - 1
+        literal[measured] = hashes[measured] * np.uint64(3) + hashes[measured + 1]
         kinds, name, plain = kinds[kept], name[kept], hashes[kept]
+        self.literal = literal[kept]
         plain = np.where(kinds == _NUM, _NUM_HASH, np.where(kinds == _QTY, _QTY_HASH, plain))
         self.value = (kinds == _NUM) | (kinds == _QTY)
         self.name = name
         self.plain = plain
         self.typed = np.where(name, _NAME_HASH, plain)
+        self._values, self._names = (np.concatenate([[0], np.cumsum(m)]) for m in (self.value, name & ~self.value))
 
     def __len__(self) -> int:
         return len(self.plain)
 
     def windows(self, size: int):
-        """(63-bit hashes, positions, typed?) of the windows of a size that hold enough plain words."""
+        """(63-bit hashes, positions, typed?) of the windows of a size.
+
+        Windows with more values than plain words say too little as a template: their words are taken literally.
+        """
         n = len(self) - size + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-
-        def inside(mask):
-            total = np.concatenate([[0], np.cumsum(mask)])
-            return total[size:] - total[:-size]
-
-        values, names = inside(self.value), inside(self.name & ~self.value)
-        typed = np.flatnonzero(2 * (values + names) <= size)
-        plain = np.flatnonzero((2 * values <= size) & ((names > 0) | (2 * (values + names) > size)))
-        hashes = np.concatenate([window_hashes(self.typed, size)[typed], window_hashes(self.plain, size)[plain]])
-        positions = np.concatenate([typed, plain])
-        kinds = np.concatenate([np.ones(len(typed), bool), np.zeros(len(plain), bool)])
-        return (hashes >> np.uint64(1)).astype(np.int64), positions, kinds
+        values, names = (total[size:] - total[:-size] for total in (self._values, self._names))
+        typed = 2 * (values + names) <= size
+        dense = 2 * values > size
+        plain = ~dense & ((names > 0) | ~typed)
+        hashes, positions, kinds = [], [], []
+        for words, chosen in ((self.typed, typed), (self.plain, plain), (self.literal, dense)):
+            at = np.flatnonzero(chosen)
+            if len(at):
+                hashes.append(window_hashes(words, size)[at])
+                positions.append(at)
+                kinds.append(np.full(len(at), chosen is typed))
+        return (np.concatenate(hashes) >> np.uint64(1)).astype(np.int64), np.concatenate(positions), np.concatenate(kinds)
 
     def slots(self, position: int, size: int, typed: bool) -> list[str]:
         """The values behind the placeholders of a window, with their kind."""

@@ -38,6 +38,12 @@ def test_short_items_match_as_a_whole(spark, frame):
     assert found(spark, frame, ["so what is seven times eight in base ten then", "what is seven"], ["what is seven times eight"]) == [(0, 0, True)]
 
 
+def test_items_of_mostly_numbers_match_verbatim_only(spark, frame):
+    items = ["3 5 8 13 21 34 55 89 what comes next", "12 + 30 = 42 7 * 6 = 42 9 km 8 kg 100 - 58"]
+    texts = [prose(1, 30) + " " + items[0] + " " + prose(2, 30), items[1], items[0].replace("13", "14"), "3 5 8 13"]
+    assert found(spark, frame, texts, items, least_share=1.0, enough_words=99) == [(0, 0, True), (1, 1, True)]
+
+
 def test_no_window_is_lost_by_the_filter(spark, frame):
     """Against a plain search for all runs of twelve words."""
     items = [prose(s, 40) for s in range(20)]
