@@ -5,8 +5,8 @@ numbers with a unit, and names (capitalised words inside a sentence) are typed p
 values they stand for are its slots. Since a copy may have lost its capitals, a second template
 keeps names as words.
 
-*Join.* Every run of ``words`` template words of a benchmark item (all of its words, if it has
-fewer) is a window. One with more values than plain words (arithmetic, sequences, tables) is hashed
+*Join.* Every run of template words of a benchmark item that is as long as the share of it which decides
+(``words`` at most, ``least_words`` at least) is a window. One with more values than plain words (arithmetic, sequences, tables) is hashed
 with its numbers as they stand, so that it meets exact copies only. Document windows join item windows by hash.
 Before that shuffle a Bloom filter of fixed size drops windows that no item has; it can let
 windows through but loses none, and being a fixed number of bits it may be broadcast.
@@ -24,15 +24,17 @@ under different ids. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
+from functools import cache
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemodels.llm.common import bloom_of, freeze, in_bloom, map_rows, window_hashes
+from lakemodels.llm.common import bloom_of, freeze, in_bloom, map_rows, mixed
 from lakemodels.llm.plans import PLANS, read
 
 WORDS = 12
@@ -120,6 +122,11 @@ def kind_of(core: str) -> int:
     return _UNIT if core.lower() in UNITS else _WORD
 
 
+@cache
+def _factors(size: int) -> np.ndarray:
+    return mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 class Template:
     """The two templates of a text: hashes of its words with and without typed names, and its slots."""
 
@@ -146,6 +153,7 @@ class Template:
         self.name = name
         self.plain = plain
         self.typed = np.where(name, _NAME_HASH, plain)
+        self._sums: dict[int, tuple[int, np.ndarray]] = {}
         self._values, self._names = (np.concatenate([[0], np.cumsum(m)]) for m in (self.value, name & ~self.value))
 
     def __len__(self) -> int:
@@ -167,11 +175,23 @@ class Template:
         for words, chosen in ((self.typed, typed), (self.plain, plain), (self.literal, dense)):
             at = np.flatnonzero(chosen)
             if len(at):
-                hashes.append(window_hashes(words, size)[at])
+                hashes.append(mixed(self._summed(words, size)[at]))
                 positions.append(at)
                 kinds.append(np.full(len(at), chosen is typed))
         return (np.concatenate(hashes) >> np.uint64(1)).astype(np.int64), np.concatenate(positions), np.concatenate(kinds)
 
+    def _summed(self, words: np.ndarray, size: int) -> np.ndarray:
+        """Sums of window_hashes; those of a larger size go on from the last smaller one."""
+        done, total = self._sums.get(id(words), (0, None))
+        if done == 0 or done > size:
+            done, total = 0, np.zeros(len(words), np.uint64)
+        n = len(words) - size + 1
+        total = total[:n]
+        for i in range(done, size):
+            total += words[i : i + n] * _factors(size)[i]
+        self._sums[id(words)] = size, total
+        return total
+
     def slots(self, position: int, size: int, typed: bool) -> list[str]:
         """The values behind the placeholders of a window, with their kind."""
         out = []
@@ -185,12 +205,24 @@ class Template:
         return out
 
 
-def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None) -> DataFrame:
+def window_size(n_words: int, words: int, least_words: int, least_share: float) -> int:
+    """Words of the windows of an item: whatever single word is changed, a run of so many is left."""
+    return min(words, max(least_words, math.ceil((n_words - 1) * least_share)))
+
+
+def _let_through(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the values that the filter may hold; most drop out by their first bit."""
+    bit = hashes & np.int64(64 * len(bloom) - 1)
+    at = np.flatnonzero((bloom[bit >> 6] >> (bit & 63)) & 1)
+    return at[in_bloom(bloom, hashes[at])]
+
+
+def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None, least_share: float = 1.0) -> DataFrame:
     """(id, n_words, size, hash, position, slots) of every window; with a filter only of those it lets through.
 
-    Without a filter (items), an item shorter than the largest size has one window, itself.
+    Without a filter (items), the windows of an item have the one size that its length asks for.
     """
-    largest = max(sizes)
+    least, largest = min(sizes), max(sizes)
 
     def start():
         known = TemplateWords()
@@ -199,20 +231,21 @@ def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None) -> Da
             out: dict[str, list] = {k: [] for k in ("id", "n_words", "size", "hash", "position", "slots")}
             for number, text in zip(part["id"], part["text"], strict=True):
                 template = Template(known, text)
-                if number is None or len(template) < min(sizes):
+                if number is None or len(template) < least:
                     continue
-                for size in [min(largest, len(template))] if bloom is None else sizes:
-                    hashes, positions, typed = template.windows(size)
-                    if bloom is not None and len(hashes):
-                        passed = np.flatnonzero(in_bloom(bloom, hashes))
-                        hashes, positions, typed = hashes[passed], positions[passed], typed[passed]
-                    for h, p, t in zip(hashes.tolist(), positions.tolist(), typed.tolist(), strict=True):
-                        out["id"].append(number)
-                        out["n_words"].append(len(template))
-                        out["size"].append(size)
-                        out["hash"].append(h)
-                        out["position"].append(p)
-                        out["slots"].append(template.slots(p, size, t))
+                wanted = [window_size(len(template), largest, least, least_share)] if bloom is None else sizes
+                made = [(size, *template.windows(size)) for size in wanted if size <= len(template)]
+                hashes, positions, typed = (np.concatenate([m[k] for m in made]) for k in (1, 2, 3))
+                at = np.repeat([m[0] for m in made], [len(m[1]) for m in made])
+                passed = slice(None) if bloom is None else _let_through(bloom, hashes)
+                found = (at[passed], hashes[passed], positions[passed], typed[passed])
+                for size, h, p, t in zip(*(column.tolist() for column in found), strict=True):
+                    out["id"].append(number)
+                    out["n_words"].append(len(template))
+                    out["size"].append(size)
+                    out["hash"].append(h)
+                    out["position"].append(p)
+                    out["slots"].append(template.slots(p, size, t))
             return out
 
         return work
@@ -233,7 +266,7 @@ def contaminated(
     ``exact``: the matched slots have the item's own values. ``position``: template word where the first match begins.
     """
     items = _windows(
-        benchmark.select(F.col("item_id").cast("long").alias("id"), "text"), list(range(least_words, words + 1)), None
+        benchmark.select(F.col("item_id").cast("long").alias("id"), "text"), list(range(least_words, words + 1)), None, least_share
     )
     items = freeze(items)
     # At most words - least_words + 1 sizes.

@@ -44,6 +44,18 @@ def test_items_of_mostly_numbers_match_verbatim_only(spark, frame):
     assert found(spark, frame, texts, items, least_share=1.0, enough_words=99) == [(0, 0, True), (1, 1, True)]
 
 
+def test_half_of_a_short_item_is_found_around_a_change(spark, frame):
+    items = ["why does warm air rise above cold air over the whole wide ocean", prose(61, 15), prose(62, 20)]
+    words = [item.split() for item in items]
+    texts = [
+        " ".join([*words[0][:6], "hot", *words[0][7:]]),
+        prose(63, 20) + " " + " ".join(words[1][4:12]) + " " + prose(64, 20),
+        " ".join([*words[2][:10], "added", *words[2][10:]]),
+        " ".join(words[1][4:11]),
+    ]
+    assert found(spark, frame, texts, items) == [(0, 0, True), (1, 1, True), (2, 2, True)]
+
+
 def test_no_window_is_lost_by_the_filter(spark, frame):
     """Against a plain search for all runs of twelve words."""
     items = [prose(s, 40) for s in range(20)]
