@@ -3,7 +3,8 @@
 A page is read into a tree: tags that HTML lets authors leave open are closed where it says so, raw
 elements (scripts, styles) and comments are not part of it. Parts whose element, role, class or id
 says that they are menus, headers, footers, sidebars, notices, adverts, forms or reader comments are
-taken out. For every node left, with characters C, tags T, link characters LC and link tags LT below it,
+taken out; a form, class or id says so only of nodes that are not the frame of an article or of most of
+the text beside links, nor an article's header with its title. For every node left, with characters C, tags T, link characters LC and link tags LT below it,
 
     density = C / T * log(C * T / (LC * LT)) to the base ln(C * LC / (C - LC) + C * LCb / Cb + e)
 
@@ -58,7 +59,12 @@ WORDS = set(
     "related recommended share sharing social breadcrumb breadcrumbs pagination pager newsletter subscribe subscription "
     "popup modal overlay login signup widget toolbar alert skip".split()
 )
+# Words that also name the layout of a page, so that a frame around the whole page can bear them.
+LAYOUT = set("nav navbar navigation menu sidebar aside footer header masthead banner toolbar overlay widget skip".split())
+MODIFIERS = {"has", "with", "no", "without"}
 FREE = {"html", "body", "article", "main"}
+# Marks of nodes: to be taken out; unless it is a frame; unless it is a frame that holds the title or main.
+OUT, FRAME, PART = 1, 2, 3
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -76,7 +82,7 @@ class Page:
     def __init__(self, source: str):
         self.tags = ["html"]
         self.parents = [-1]
-        self.noise = [False]
+        self.marks = [0]
         # Events in page order: (node, text) for text, (node, None) for a line break or an edge of a block.
         self.events: list[tuple[int, str | None]] = []
         self.open = [0]
@@ -119,33 +125,69 @@ class Page:
         node = len(self.tags)
         self.tags.append(name)
         self.parents.append(self.open[-1])
-        self.noise.append(self._is_noise(name, attributes))
+        self.marks.append(self._mark(name, attributes))
         if name in BLOCKS:
             self.events.append((node, None))
         if name not in VOID:
             self.open.append(node)
             self.at.setdefault(name, []).append(node)
 
-    def _is_noise(self, name: str, attributes: str) -> bool:
-        if name in PARTS:
-            return True
+    def _mark(self, name: str, attributes: str) -> int:
+        if name in PARTS and name != "form":
+            return OUT
         if name == "header" and not (self.at.get("article") or self.at.get("main")):
-            return True
+            return OUT
+        mark = FRAME if name == "form" else 0
         if name in FREE or len(attributes) < 4:
-            return False
+            return mark
         for key, *values in _ATTRIBUTE.findall(attributes):
             value, key = "".join(values), key.lower()
             if key in ("class", "id"):
-                if any(part.lower() in WORDS for part in _SPLIT.split(value)):
-                    return True
+                before = ""
+                for part in _SPLIT.split(value):
+                    part = part.lower()
+                    if part in WORDS and before not in MODIFIERS:
+                        mark = max(mark, FRAME if part in LAYOUT else PART)
+                    before = part
             elif key == "role":
-                if value.lower() in ROLES:
-                    return True
+                if value.lower() == "form":
+                    mark = max(mark, FRAME)
+                elif value.lower() in ROLES:
+                    return OUT
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-                return True
+                return OUT
             elif key == "style" and _HIDDEN.search(value):
-                return True
-        return False
+                return OUT
+        return mark
+
+    def _noise(self, link: list[bool]) -> list[bool]:
+        """Nodes that are taken out: marked ones and all below, but not the frames of the page's text."""
+        n, tags, parents, marks = len(self.tags), self.tags, self.parents, self.marks
+        noise = [m > 0 for m in marks]
+        if FRAME in marks or PART in marks:
+            out, held, titles, articles = [m == OUT for m in marks], [0] * n, [0] * n, [0] * n
+            within = [t in ("article", "main") for t in tags]
+            for i in range(1, n):
+                out[i] = out[i] or out[parents[i]]
+                within[i] = within[i] or within[parents[i]]
+            for node, text in self.events:
+                if text and not out[node] and not link[node]:
+                    held[node] += len("".join(text.split()))
+            for i in range(n - 1, 0, -1):
+                if not out[i]:
+                    p = parents[i]
+                    held[p] += held[i]
+                    titles[p] += titles[i] + (tags[i] in ("h1", "main"))
+                    articles[p] += articles[i] + (tags[i] in ("article", "main"))
+            for i in range(1, n):
+                # An article's own header holds its title.
+                title = marks[i] == FRAME and titles[i] > 0 and within[i]
+                frame = articles[i] > 0 or 2 * held[i] > held[0]
+                if marks[i] > OUT and (title or (frame and (marks[i] == FRAME or titles[i] > 0))):
+                    noise[i] = False
+        for i in range(1, n):
+            noise[i] = noise[i] or noise[parents[i]]
+        return noise
 
     def _end_nearest(self, ended: set[str], beyond: set[str]) -> None:
         last = max((self.at[t][-1] for t in ended if self.at.get(t)), default=-1)
@@ -180,10 +222,10 @@ class Page:
         """The main text: blocks in page order, an empty line between them."""
         n = len(self.tags)
         tags, parents = self.tags, self.parents
-        noise, link = self.noise[:], [t == "a" for t in tags]
+        link = [t == "a" for t in tags]
         for i in range(1, n):
-            noise[i] = noise[i] or noise[parents[i]]
             link[i] = link[i] or link[parents[i]]
+        noise = self._noise(link)
         chars, link_chars, below, links = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.events:
             if text and not noise[node]:

@@ -70,3 +70,16 @@ def test_rows_that_are_odd(spark):
     assert sorted(got.columns) == ["n_chars", "page_id", "text"]
     assert rows(got.select("page_id", "text", "n_chars")) == [(None, "b", 1), (1, "", 0), (2, "", 0), (3, "a", 1), (3, "a", 1)]
     assert H.extracted(df.limit(0)).count() == 0
+
+
+def test_frames_with_names_of_noise_keep_their_article():
+    body = "<p>" + "Plain words of the story go on for a while. " * 8 + "</p>"
+    text = " ".join(("Plain words of the story go on for a while. " * 8).split())
+    side = "<div class='sidebar'><p>Elsewhere</p></div><div class='comments'><p>I liked it</p></div>"
+    for frame in ("<div class='content has-sidebar'>", "<div class='wrapper header-fixed'>", "<form action='/'>", "<div id='pageMenuLayout'>"):
+        end = "</form>" if frame.startswith("<form") else "</div>"
+        assert H.main_text(f"<body>{frame}<div>{body}{body}</div>{side}{end}</body>") == f"{text}\n\n{text}", frame
+    titled = f"<body><article><header class='entry-header'><h1>The title</h1></header>{body}</article>{side}</body>"
+    assert H.main_text(titled) == f"The title\n\n{text}"
+    talk = "<div id='comments'>" + "<article><p>" + "A long reply of a reader. " * 40 + "</p></article></div>"
+    assert H.main_text(f"<body><div><h1>Top</h1>{body}</div>{talk}</body>") == f"Top\n\n{text}"
