@@ -7,7 +7,9 @@ are plain strings of one trie. They are learned from a bounded sample of labelle
 
 *Matching.* A word walks the product of that trie with a Levenshtein automaton: a state is
 the set of (trie node, errors) reached, built once and then a dictionary step. A term may
-differ by one error from five letters on and by two from nine on.
+differ by one error from five letters on and by two from nine on. A closed term of four letters also
+matches with signs for one or both of its inner letters, and, as one error, with two neighbours swapped
+or letters repeated.
 
 *Score.* Each match weighs what its (term, errors) showed on the sample. A match within
 quotation marks, or after a word of reporting, counts to the quoted sum, any other to the
@@ -45,6 +47,8 @@ ADDRESS = set("you your yours you're u tu toi ton ta vous votre du dich dein dei
 
 _WORD = re.compile(r"[^\W\d_]+(?:[@$!*0-9]+[^\W\d_]+)*")
 _LEET = str.maketrans("013457@$!", "oieastasi")
+_MASKED = str.maketrans(dict.fromkeys("@$!*0123456789", "*"))
+_RUN = re.compile(r"(.)\1+")
 
 
 @dataclass(frozen=True)
@@ -168,6 +172,16 @@ class Matcher:
 
     def __init__(self, terms: list[str], remembered: int = 300_000):
         self.automaton = Automaton(terms)
+        self.short: dict[str, tuple[str, int]] = {}
+        self.runs: dict[str, str] = {}
+        for term in (t[:4] for t in terms if len(t) == 5 and t.endswith("$")):
+            a, b, c, d = term
+            for masked in (f"{a}*{c}{d}", f"{a}{b}*{d}", f"{a}**{d}"):
+                self.short.setdefault(masked, (f"{term}$", 0))
+            for swapped in (b + a + c + d, a + c + b + d, a + b + d + c):
+                if swapped != term:
+                    self.short.setdefault(swapped, (f"{term}$", 1))
+            self.runs.setdefault(_RUN.sub(r"\1", term), f"{term}$")
         self.known: dict[str, tuple[str, int] | None] = {}
         self.remembered = remembered
 
@@ -178,6 +192,14 @@ class Matcher:
         if plain != word:
             for term, errors in self.automaton.matches(plain).items():
                 found[term] = min(errors, found.get(term, 99))
+        if self.runs and len(word) >= 4:
+            masked = word.translate(_MASKED)
+            # Digits are letters to some and part of a name to others; two of them say too little.
+            known = self.short.get(word) or (self.short.get(masked) if masked.count("*") == 1 else None)
+            if known is not None:
+                found[known[0]] = min(known[1], found.get(known[0], 99))
+            elif len(word) > 4 and (term := self.runs.get(_RUN.sub(r"\1", word))):
+                found[term] = min(1, found.get(term, 99))
         return min(found.items(), key=lambda x: (x[1], -len(x[0]), x[0])) if found else None
 
     def in_words(self, words: list[str]) -> dict[str, tuple[str, int]]:

@@ -91,3 +91,18 @@ def test_held_out_documents_are_found(spark):
     ).first()
     assert n > 100 and right >= 0.95 * n and caught >= 0.75 * toxic
     assert X.op3_toxicity(spark, DATA).count() == spark.read.parquet(f"{DATA}/documents.parquet").count()
+
+
+def test_short_terms_match_masked_swapped_and_repeated():
+    matcher = X.Matcher(["scum$", "idiot$"])
+    for word in ("sc*m", "s*um", "s**m", "sc4m"):
+        assert matcher.match(word) == ("scum$", 0), word
+    for word in ("sucm", "csum", "scmu", "scuum", "sscummm"):
+        assert matcher.match(word) == ("scum$", 1), word
+    for word in ("scam", "scums", "s44m", "sum", "s*m", "sc*b", "scrum"):
+        assert matcher.match(word) is None, word
+
+
+def test_a_masked_short_term_is_evidence():
+    matcher, weight = X.Matcher(["scum$"]), {("scum$", 0): 4.0}
+    assert X.evidence(matcher, weight, "they are sc*m", 5)[0] == 4.0
