@@ -9,6 +9,7 @@ from lakemodels.llm import (
     minhash,
     passages,
     preferences,
+    runs,
     secrets,
     simhash,
     toxicity,
@@ -29,6 +30,7 @@ __all__ = [
     "minhash",
     "passages",
     "preferences",
+    "runs",
     "secrets",
     "simhash",
     "toxicity",
