@@ -7,6 +7,7 @@ from lakemodels.llm import (
     html_text,
     licenses,
     minhash,
+    negatives,
     passages,
     preferences,
     runs,
@@ -28,6 +29,7 @@ __all__ = [
     "html_text",
     "licenses",
     "minhash",
+    "negatives",
     "passages",
     "preferences",
     "runs",
