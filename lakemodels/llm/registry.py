@@ -9,6 +9,7 @@ from lakemodels.llm import (
     minhash,
     negatives,
     passages,
+    pii,
     preferences,
     runs,
     secrets,
@@ -31,6 +32,7 @@ __all__ = [
     "minhash",
     "negatives",
     "passages",
+    "pii",
     "preferences",
     "runs",
     "secrets",
