@@ -128,32 +128,41 @@ def infer_decimals(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def infer_json_arrays(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Array type of columns that hold JSON lists as text.
 
-    Lists of one scalar kind give an array type: whole numbers are one kind, numbers with a fraction
-    or an exponent another. Mixed or nested lists, lists without any value, and texts that are no list
-    give jsonb. Rows: column_name, inferred_type.
-    """
+    Lists of one scalar kind give an array type: whole numbers are one kind (numeric[] if any is beyond bigint), numbers
+    with a fraction or an exponent another. Mixed or nested lists, lists without any value, and texts
+    that are no list give jsonb. Rows: column_name, inferred_type.
 
-    def verdict(name: str) -> list[Column]:
+    Every column is one fold of ``schema_of_variant_agg``: a text is parsed once, and what is merged and shuffled
+    is a schema, whose size depends on the kinds of items and not on the rows. A merged schema of numbers does
+    not tell whole numbers from others, so two flags do, which look at how the numbers are written.
+    """
+    numbered = list(enumerate(columns))
+    parsed = []
+    for i, name in numbered:
         text = col(name)
-        items = F.when(is_json_container(text), F.try_parse_json(text)).try_cast("array<variant>")
-        # Kinds of one list; a list has few, whatever its length.
-        kinds = F.array_distinct(F.transform(items, lambda item: _element_kind(F.schema_of_variant(item))))
-        kinds = F.when(items.isNull(), F.array(F.lit("OTHER"))).otherwise(kinds)
-        every = F.array_remove(F.array_distinct(F.flatten(F.collect_set(F.when(text.isNotNull(), kinds)))), "VOID")
+        # Of a flat list all but its strings is free of brackets, so its end is the end of the text.
+        flat = F.regexp_replace(text, _STRING, "0").rlike(_FLAT_LIST)
+        parsed += [F.when(flat, F.try_parse_json(text)).alias(f"v{i}"), text.alias(f"t{i}")]
+    folded = []
+    for i, name in numbered:
+        text, value = F.col(f"t{i}"), F.col(f"v{i}")
+        shape = F.regexp_extract(F.schema_of_variant_agg(value), "^ARRAY<(.*)>$", 1)
+        every = F.coalesce(F.bool_and(F.when(text.isNotNull(), value.isNotNull())), F.lit(False))
+        # They count only where all items are numbers: then no text holds a string.
+        fraction = F.coalesce(F.bool_or(text.rlike("[0-9][.eE]")), F.lit(False))
+        whole = F.coalesce(F.bool_or(text.rlike(r"[\[,\s]-?[0-9]+\s*[,\]]")), F.lit(False))
+        number = F.when(fraction & whole, F.lit("")).when(fraction, F.lit("DOUBLE")).otherwise(F.regexp_extract(shape, "^[A-Z]+", 0))
+        known = F.when(shape.rlike("^(BIGINT|DECIMAL|DOUBLE)"), number).otherwise(shape)
         kind = F.lit("jsonb")
         for spark_name, array_type in ELEMENT_TYPES.items():
-            kind = F.when((F.size(every) == 1) & (every[0] == spark_name), F.lit(array_type)).otherwise(kind)
-        return [kind.alias("inferred_type")]
-
-    return _per_column(df, columns, verdict)
+            kind = F.when(every & (known == spark_name), F.lit(array_type)).otherwise(kind)
+        folded.append(F.struct(F.lit(name).alias("column_name"), kind.alias("inferred_type")).alias(f"c{i}"))
+    return df.select(*parsed).agg(*folded).select(F.inline(F.array(*[f"c{i}" for i, _ in numbered])))
 
 
-def _element_kind(shape: Column) -> Column:
-    """The kind of a list's item. A decimal is a number with a fraction (which may be zero) unless it is a
-    whole number that no bigint holds."""
-    beyond = shape.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$")
-    plain = F.when(beyond, F.lit("DECIMAL")).when(shape.startswith("DECIMAL"), F.lit("DOUBLE")).otherwise(shape)
-    return F.when(plain.isin(*ELEMENT_TYPES, "VOID"), plain).otherwise(F.lit("OTHER"))
+# A string of a JSON text, and a list whose strings are gone. Both are matched without going back.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_FLAT_LIST = r"""^\s*\[[^\[\]{}"']*\]\s*$"""
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], verdict) -> DataFrame:

@@ -12,7 +12,7 @@ from lakemodels.operators.batches import map_batches
 from lakemodels.operators.merge import align_columns
 from lakemodels.operators.relational import keep, project
 from lakemodels.plans.registry import path, plan, read
-from lakemodels.sinks.materialize import write_incremental, write_table, write_view
+from lakemodels.sinks.materialize import stored_rows, write_incremental, write_table, write_view
 from lakemodels.sources.workspace import fresh_dir, scratch_schema
 from lakemodels.streaming.incremental import stream_incremental
 
@@ -223,6 +223,30 @@ def inc_merge_predicate(spark, folder):
     return spark.table(name)
 
 
+@plan(_MERGED)
+def inc_merge_bucketed(spark, folder):
+    """The key is no partition column of the user; the writer finds the touched rows by a hash of it."""
+    name = f"{scratch_schema(spark, 'bucketed')}.orders"
+    write_incremental(_loaded(spark, folder), name, "merge", "order_id", buckets=8)
+    write_incremental(_changed(spark, folder), name, "merge", "order_id")
+    return stored_rows(spark, name)
+
+
+@plan(f"""
+    WITH {_T}, {_S}
+    SELECT t.order_id, t.customer_id, t.status,
+           CASE WHEN t.status IN ('O', 'P') AND t.amount > 50000 AND s.order_id IS NOT NULL THEN s.amount ELSE t.amount END AS amount
+    FROM t LEFT JOIN s ON t.order_id = s.order_id
+    UNION ALL SELECT * FROM s WHERE NOT EXISTS (
+        SELECT 1 FROM t WHERE t.order_id = s.order_id AND t.status IN ('O', 'P') AND t.amount > 50000)
+""")
+def inc_merge_predicate_pruned(spark, folder):
+    """Status is a partition column outside of the key; partitions the predicate excludes are neither read nor written."""
+    name = _target(spark, _loaded(spark, folder), "pruned", partition_by=["status"])
+    write_incremental(_changed(spark, folder), name, "merge", "order_id", predicate="status IN ('O', 'P') AND amount > 50000")
+    return spark.table(name)
+
+
 @plan(f"""
     WITH {_T}, {_TWO_VERSIONS}
     SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.order_id = t.order_id)

@@ -3,15 +3,18 @@
 Storage is plain Parquet, so a rebuilt table is written beside the old one and
 published last, by catalog calls that move no data:
 
-* every version of a table is an external table in a folder of its own, so the
-  final renames only touch the catalog, on object stores too;
+* every version of a table lies in a folder of its own. Where columns only grow and the table has no
+  partitions, one catalog call points it at the new folder: readers always find a complete version. The former
+  folder stays until the next publish, so that readers that have begun can end. Else the final
+  renames only touch the catalog, on object stores too;
 * a failing write leaves the old version in place;
-* a partitioned incremental table whose partition columns belong to the key is
-  not rebuilt: only the partitions the batch touches are rewritten.
+* a partitioned incremental table is not rebuilt where the partitions that a batch can change are known: those of its
+  key's values, of its key's hash (``buckets``), or those that the predicate allows. Only they are read and rewritten.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping, Sequence
@@ -35,6 +38,7 @@ from lakemodels.operators.merge import (
 )
 from lakemodels.operators.names import Drift, drift_between
 from lakemodels.operators.relational import col
+from lakemodels.sinks.buckets import BUCKET, Buckets, without_bucket
 from lakemodels.sources.scan import relation_kind, table_name
 from lakemodels.sources.workspace import fresh_dir, remove_dir
 
@@ -43,7 +47,10 @@ SCHEMA_MODES = ("ignore", "fail", "append_new_columns", "sync_all_columns")
 _BACKING = "lakemodels.backing"
 # Set on every table this library writes: only the folders of such tables are deleted with them.
 _OWNED = "lakemodels.owned"
+# The folder of the version before, and properties that hold once the table lies in a certain folder.
+_FORMER, _NEXT = "lakemodels.former", "lakemodels.next"
 _LISTED_PARTITIONS = 5_000
+_BUCKET_PROPERTIES = tuple(Buckets(1, ()).properties())
 
 # Text for columns of these types is parsed by the encoders' rules, not by a plain cast.
 _PARSED_ON_LOAD = {"variant": "jsonb", "boolean": "boolean"}
@@ -72,15 +79,25 @@ def write_table(
     category_types: Mapping[str, Sequence[str]] | None = None,
     partition_by: Sequence[str] = (),
     properties: Mapping[str, str] | None = None,
+    buckets: Buckets | None = None,
 ) -> Written:
-    """Create or replace a table. A view under that name is dropped, as is the old table."""
+    """Create or replace a table. A view under that name is dropped, as is the old table.
+
+    With ``buckets`` the rows are also partitioned by a hash of a key, in a last column named ``__lm_bucket``
+    that :func:`stored_rows` hides.
+    """
     result = prepared(df, column_types, category_types)
     spark = df.sparkSession
     create_schema(spark, name)
-    rows = _publish(result, name, partition_by, properties or {})
+    rows = _publish(result, name, partition_by, properties or {}, buckets=buckets)
     return Written(name, rows)
 
 
+def stored_rows(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a table as the model returned them, without the writer's own column."""
+    return without_bucket(spark.table(name))
+
+
 def write_view(
     df: DataFrame,
     name: str,
@@ -138,6 +155,7 @@ def write_incremental(
     partition_by: Sequence[str] = (),
     widen: bool = False,
     properties: Mapping[str, str] | None = None,
+    buckets: int | None = None,
 ) -> Written:
     """Add a batch to a table by append, merge or delete+insert.
 
@@ -151,6 +169,10 @@ def write_incremental(
     * ``order_by``, ``predicate``, ``batch_column``: see ``merge_frames``. Such
       helper columns are not stored unless the target has them.
     * ``widen`` lets a batch with a wider type widen the target's column.
+    * ``buckets`` keeps the table partitioned by a hash of the key into so many parts. A batch then rewrites only
+      the buckets its keys fall into. Without it a table keeps the buckets it has.
+    * A ``predicate`` spares every partition without a row that it accepts, unless the batch moves rows
+      from one partition to another.
 
     All arguments are checked before the first job or catalog change.
     """
@@ -165,14 +187,23 @@ def write_incremental(
     if predicate and batch_column:
         raise ValueError("A predicate cannot be combined with batch_column: a batch may change what it says")
 
+    if buckets is not None and not keys:
+        raise ValueError("buckets need a unique_key")
+
     spark = df.sparkSession
-    if full_refresh or relation_kind(spark, name) != "table":
+    exists = relation_kind(spark, name) == "table"
+    stored = Buckets.of(_properties(spark, name)) if exists else None
+    if full_refresh or not exists:
         first = df
         if batch_column or order_by:
             first = _first_load(df, strategy, keys, order_by, batch_column)
-        return write_table(first, name, column_types, category_types, partition_by, properties)
+        if buckets:
+            stored = Buckets(buckets, tuple(checked_keys(keys, first.columns)))
+        elif stored and drift_between(stored.keys, first.columns).new:
+            stored = None
+        return write_table(first, name, column_types, category_types, partition_by, properties, stored)
 
-    target = spark.table(name)
+    target = stored_rows(spark, name)
     helpers = [c for c in dict.fromkeys([batch_column, *(order_by or [])]) if c and c not in target.columns]
     model_columns = [c for c in df.columns if c not in helpers]
     missing, new = drift_between(model_columns, target.columns)
@@ -187,12 +218,15 @@ def write_incremental(
     if missing:
         readers = _droppable_readers(spark, name, missing, cascade)
 
+    wanted = Buckets(buckets, tuple(checked_keys(keys, target.columns))) if buckets else stored
+    if wanted and {k.lower() for k in wanted.keys} & {c.lower() for c in missing}:
+        wanted = None  # the column it is made of goes
     pins = {c: t for c, t in (column_types or {}).items() if c in new}
     pins |= {f.name: t for f in target.schema.fields if f.name in model_columns
              for t in [_PARSED_ON_LOAD.get(f.dataType.simpleString())] if t}
     categories = {c: d for c, d in (category_types or {}).items() if c in new}
     batch = normalize_nulls(pin_types(df, pins, categories))
-    if strategy == "append" and not (missing or new or widen):
+    if strategy == "append" and not (missing or new or widen or wanted != stored):
         return Written(name, _append(batch.drop(*helpers), name))
 
     # The batch feeds several branches of the plan: fix its rows once.
@@ -202,7 +236,7 @@ def write_incremental(
         if rows:
             settings = _Change(
                 name, strategy, keys, missing, new, helpers, order_by, predicate, batch_column, widen, properties or {},
-                readers,
+                readers, stored, wanted,
             )
             _apply_batch(spark.read.parquet(staged), target, settings)
     finally:
@@ -226,29 +260,34 @@ class _Change:
     widen: bool
     properties: Mapping[str, str]
     readers: list[str]
+    stored: Buckets | None
+    wanted: Buckets | None
 
 
 def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
     """Publish target + staged batch, in place where only some partitions change."""
     spark, name, keys = batch.sparkSession, change.name, change.keys
     stored_by = _partitions(spark, name)
+    own_by = [c for c in stored_by if c != BUCKET]
     stored_types, kinds = _types(target), {f.name: f.dataType for f in batch.schema.fields}
     if change.widen:
         target, batch = widen_pair(target, batch)
 
-    by_partition = change.strategy == "append" or (
-        bool(stored_by)
-        and set(stored_by) <= set(keys)
+    rebuild = bool(change.missing) or _types(target) != stored_types or change.wanted != change.stored
+    by_key = by_predicate = False
+    if change.strategy != "append" and stored_by and not rebuild:
+        by_key = {c.lower() for c in own_by} <= {k.lower() for k in keys} and (not change.stored or change.stored.within(keys))
+        by_predicate = not by_key and bool(change.predicate) and not _moves(target, batch, change, own_by)
         # A batch number is stored after the partitions: only null keys would be inserted twice by a repeat.
-        and not (change.properties and _has_null_keys(batch, keys))
-    )
-    rebuild = bool(change.missing) or _types(target) != stored_types or not by_partition
+        if change.properties and (by_key or by_predicate) and _has_null_keys(batch, keys):
+            by_key = by_predicate = False
+    rebuild = rebuild or not (change.strategy == "append" or by_key or by_predicate)
     if rebuild:
         target = target.drop(*change.missing).withColumns({c: F.lit(None).cast(kinds[c]) for c in change.new})
     elif change.new:
         added = ", ".join(f"{table_name(c)} {kinds[c].simpleString()}" for c in change.new)
         spark.sql(f"ALTER TABLE {_sql(name)} ADD COLUMNS ({added})")
-        target = spark.table(name)
+        target = stored_rows(spark, name)
 
     def applied(existing: DataFrame) -> DataFrame:
         if change.strategy == "append":
@@ -259,14 +298,36 @@ def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
         return delete_insert_frames(existing, batch.drop(*unneeded), keys, change.predicate, change.batch_column)
 
     if rebuild:
-        _publish(applied(target), name, stored_by, {**_own_properties(spark, name), **change.properties}, change.readers)
+        properties = {**_own_properties(spark, name), **change.properties}
+        _publish(applied(target), name, own_by, properties, change.readers, change.wanted)
     elif change.strategy == "append":
         _append(batch.drop(*change.helpers), name)
     else:
-        _rewrite_partitions(applied(_touched(target, batch, stored_by)), name)
+        rows = align_to(batch.drop(*change.helpers), target)
+        places = change.stored.added_to(rows) if change.stored else rows
+        everything = spark.table(name)
+        if by_predicate:
+            places = places.select(*map(col, stored_by)).unionByName(
+                everything.where(F.expr(change.predicate)).select(*map(col, stored_by))
+            )
+        result = applied(without_bucket(_touched(everything, places, stored_by)))
+        _rewrite_partitions(change.stored.added_to(result) if change.stored else result, name)
         _set_properties(spark, name, change.properties)
 
 
+def _moves(target: DataFrame, batch: DataFrame, change: _Change, partition_by: Sequence[str]) -> bool:
+    """Whether a row of the batch would take a target row that the predicate accepts to another partition.
+
+    Of the target only keys and partition columns are read, and only where the predicate allows. A partition could lose
+    all its rows by such a move, and an overwrite of the partitions that have rows would not empty it.
+    """
+    rows = align_to(batch.drop(*change.helpers), target.drop(*change.missing).withColumns({c: F.lit(None) for c in change.new}))
+    new = rows.select(*map(col, change.keys), *[col(c).alias(f"__to_{c}") for c in partition_by if c not in change.keys])
+    held = target.where(F.expr(change.predicate)).select(*map(col, dict.fromkeys([*change.keys, *partition_by])))
+    differs = [~col(c).eqNullSafe(col(f"__to_{c}")) for c in partition_by if c not in change.keys]
+    return not held.join(new, on=list(change.keys)).where(reduce(lambda a, b: a | b, differs)).isEmpty()
+
+
 def prepared(df: DataFrame, column_types=None, category_types=None) -> DataFrame:
     """Pinned types, NaN as null: the frame a writer stores."""
     return normalize_nulls(pin_types(df, column_types, category_types))
@@ -287,11 +348,13 @@ def drop_relation(spark: SparkSession, name: str) -> None:
         if backing:
             drop_relation(spark, backing)
     elif kind == "table":
-        owned = _properties(spark, name).get(_OWNED) == "true"
+        properties = _properties(spark, name)
         location = _location(spark, name)
         spark.sql(f"DROP TABLE IF EXISTS {_sql(name)}")
-        if owned:
+        if properties.get(_OWNED) == "true":
             remove_dir(spark, location)
+            if _FORMER in properties:
+                remove_dir(spark, properties[_FORMER])
 
 
 def dependent_views(spark: SparkSession, name: str) -> list[str]:
@@ -335,13 +398,20 @@ def _publish(
     partition_by: Sequence[str],
     properties: Mapping[str, str],
     readers: Sequence[str] = (),
+    buckets: Buckets | None = None,
 ) -> int:
-    """Write beside the old version, then swap names in the catalog.
+    """Write beside the old version, then swap folders, or else names, in the catalog.
 
-    If a step of the swap fails, the old version gets its name back and the new one is dropped.
+    If a step of the swap fails, the old version stays or gets its name back, and the new one is dropped.
     ``readers`` are views that cannot live with the new version; they go when it is complete.
     """
     spark = df.sparkSession
+    properties = {k: v for k, v in properties.items() if k not in (_FORMER, *_BUCKET_PROPERTIES)}
+    if buckets:
+        df, partition_by = buckets.added_to(df), [*partition_by, BUCKET]
+        properties |= buckets.properties()
+    if not (partition_by or readers) and _can_swap_folder(df, name):
+        return _swap_folder(df, name, properties)
     nonce = uuid.uuid4().hex[:8]
     stage, old = f"{name}__stage_{nonce}", f"{name}__old_{nonce}"
     rows = _save(df, stage, partition_by, properties)
@@ -374,6 +444,51 @@ def _publish(
     return rows
 
 
+def _can_swap_folder(df: DataFrame, name: str) -> bool:
+    """Whether the table is this library's, has no partitions, and its columns are the first of the new version."""
+    spark = df.sparkSession
+    if relation_kind(spark, name) != "table" or _properties(spark, name).get(_OWNED) != "true" or _partitions(spark, name):
+        return False
+    old, new = spark.table(name).schema.fields, df.schema.fields
+    return len(new) >= len(old) and all(a.name == b.name and a.dataType == b.dataType for a, b in zip(old, new, strict=False))
+
+
+def _swap_folder(df: DataFrame, name: str, properties: Mapping[str, str]) -> int:
+    """Write a new folder, then point the table at it by one catalog call.
+
+    The properties are stored before, bound to the new folder: they hold from the same call on, so that a
+    batch number and its rows appear together.
+    """
+    spark = df.sparkSession
+    folder = f"{_schema_location(spark, name)}/{name.split('.')[-1]}__v_{uuid.uuid4().hex[:12]}"
+    before = _properties(spark, name)
+    former = _location(spark, name)
+    try:
+        rows = _observed(df, lambda frame: frame.write.parquet(folder))
+        new = df.schema.fields[len(spark.table(name).columns) :]
+        if new:
+            added = ", ".join(f"{table_name(f.name)} {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {_sql(name)} ADD COLUMNS ({added})")
+        changed = {k: v for k, v in properties.items() if before.get(k) != v}
+        if changed:
+            _set_properties(spark, name, {_NEXT: json.dumps({"folder": folder, "properties": changed})})
+        _point_at(spark, name, folder)
+    except Exception:
+        remove_dir(spark, folder)
+        raise
+    spark.catalog.refreshTable(_sql(name))
+    _set_properties(spark, name, {**changed, _FORMER: former})
+    if changed:
+        spark.sql(f"ALTER TABLE {_sql(name)} UNSET TBLPROPERTIES IF EXISTS ('{_NEXT}')")
+    if _FORMER in before:
+        remove_dir(spark, before[_FORMER])
+    return rows
+
+
+def _point_at(spark: SparkSession, name: str, folder: str) -> None:
+    spark.sql(f"ALTER TABLE {_sql(name)} SET LOCATION '{folder}'")
+
+
 def _rename(spark: SparkSession, name: str, to: str) -> None:
     spark.sql(f"ALTER TABLE {_sql(name)} RENAME TO {_sql(to)}")
 
@@ -408,8 +523,9 @@ def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def _append(df: DataFrame, name: str) -> int:
-    target = df.sparkSession.table(name)
-    rows = _gathered(align_to(df, target), _partitions(df.sparkSession, name))
+    spark = df.sparkSession
+    rows, buckets = align_to(df, stored_rows(spark, name)), Buckets.of(_properties(spark, name))
+    rows = _gathered(buckets.added_to(rows) if buckets else rows, _partitions(spark, name))
     return _observed(rows, lambda frame: frame.write.insertInto(_sql(name)))
 
 
@@ -456,24 +572,23 @@ def _any_null(columns: Sequence[str]):
     return reduce(lambda a, b: a | b, [col(c).isNull() for c in columns])
 
 
-def _touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows in partitions the batch writes to.
+def _touched(target: DataFrame, places: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target rows in the partitions that ``places`` holds.
 
-    The batch's partition values become literals, so the scan reads no other
-    partition. Past a bound on their number a semi join stands in for them. A
-    null partition value never matches a key, but its partition is rewritten
-    when the batch has null rows, so its rows must be carried over.
+    The partition values become literals, so the scan reads no other partition. Past a bound on their number a
+    semi join stands in for them. If any place has a null, all partitions with a null are taken.
     """
-    values = batch.select(*[col(c).cast(target.schema[c].dataType).alias(c) for c in partition_by]).distinct()
-    values = values.where(~_any_null(partition_by))
+    values = places.select(*[col(c).cast(target.schema[c].dataType).alias(c) for c in partition_by]).distinct()
     listed = values.limit(_LISTED_PARTITIONS + 1).collect()
+    few = len(listed) <= _LISTED_PARTITIONS
+    with_null = any(None in tuple(row) for row in listed) if few else _has_null_keys(values, partition_by)
     hit = target
-    if len(listed) <= _LISTED_PARTITIONS:
+    if few:
         for c in partition_by:
-            hit = hit.where(col(c).isin(sorted({row[c] for row in listed})))
-    if len(listed) > _LISTED_PARTITIONS or len(partition_by) > 1:
-        hit = hit.join(values, on=list(partition_by), how="left_semi")
-    if _has_null_keys(batch, partition_by):
+            hit = hit.where(col(c).isin(sorted({row[c] for row in listed if None not in tuple(row)})))
+    if not few or len(partition_by) > 1:
+        hit = hit.join(values.where(~_any_null(partition_by)), on=list(partition_by), how="left_semi")
+    if with_null:
         hit = hit.unionByName(target.where(_any_null(partition_by)))
     return hit
 
@@ -492,7 +607,8 @@ def _rewrite_partitions(df: DataFrame, name: str) -> None:
 
 def _set_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        quoted = lambda text: text.replace("\\", "\\\\").replace("'", "\\'")
+        pairs = ", ".join(f"'{quoted(k)}' = '{quoted(v)}'" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {_sql(name)} SET TBLPROPERTIES ({pairs})")
 
 
@@ -501,7 +617,13 @@ def _partitions(spark: SparkSession, name: str) -> list[str]:
 
 
 def _properties(spark: SparkSession, name: str) -> dict[str, str]:
-    return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {_sql(name)}").collect()}
+    """Properties of a table; those bound to a folder hold if the table lies there."""
+    held = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {_sql(name)}").collect()}
+    if _NEXT in held:
+        coming = json.loads(held.pop(_NEXT))
+        if _location(spark, name).rstrip("/").endswith(coming["folder"].rstrip("/").split("/")[-1]):
+            held |= coming["properties"]
+    return held
 
 
 def _own_properties(spark: SparkSession, name: str) -> dict[str, str]:

@@ -15,6 +15,8 @@ from lakemodels.sinks.materialize import (
     dependent_views,
     drop_relation,
     materialize,
+    stored_rows,
+    table_properties,
     write_incremental,
     write_table,
     write_view,
@@ -408,3 +410,174 @@ def test_predicate_and_batches_exclude_each_other(spark, target, batch):
 
 def test_keys_are_found_in_any_case(target, batch):
     assert rows(merge_frames(target, batch, ["K"])) == MERGED
+
+
+def _files(spark, name, condition="true"):
+    spark.catalog.refreshTable(name)
+    return {r.f for r in spark.table(name).where(condition).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+
+
+def _sorted(expected):
+    return sorted(expected, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+@pytest.mark.parametrize("partition_by", [[], ["k"]])
+@pytest.mark.parametrize("strategy, wanted", [("merge", MERGED), ("delete+insert", EXCHANGED), ("append", TARGET + BATCH)])
+def test_strategies_on_bucketed_tables(spark, schema, target, batch, strategy, wanted, partition_by):
+    name = f"{schema}.t"
+    write_incremental(target, name, strategy, "k", partition_by=partition_by, buckets=3)
+    write_incremental(batch, name, strategy, "K")
+    got = stored_rows(spark, name)
+    assert set(got.columns) == {"k", "v", "n"} and rows(got.select("k", "v", "n")) == _sorted(wanted)
+    write_incremental(batch.limit(0), name, strategy, "k")
+    assert spark.table(name).count() == len(wanted)
+
+
+@pytest.mark.parametrize("strategy", ["merge", "delete+insert"])
+def test_untouched_buckets_keep_their_files(spark, schema, strategy):
+    name = f"{schema}.t"
+    start = [(k, f"v{k}", k) for k in range(200)] + [(None, f"n{k}", k) for k in range(60)]
+    write_incremental(spark.createDataFrame(start, KVN), name, strategy, "k", buckets=16)
+    assert spark.table(name).where("k IS NULL").select("__lm_bucket").distinct().count() > 8  # null keys are spread
+    bucket = spark.table(name).where("k = 5").first()["__lm_bucket"]
+    before, touched = _files(spark, name), _files(spark, name, f"__lm_bucket = {bucket}")
+    write_incremental(spark.createDataFrame([(5, "new", 0)], KVN), name, strategy, "k")
+    after = _files(spark, name)
+    assert before - after == touched and len(after - before) >= 1 and len(before & after) >= 14
+    wanted = [(5, "new", 0) if r[0] == 5 else r for r in start]
+    assert rows(stored_rows(spark, name)) == _sorted(wanted)
+
+
+def test_bucketed_merges_equal_plain_ones(spark, schema):
+    draw = random.Random(4)
+    some = lambda n: [(draw.choice([None, *range(40)]), draw.choice("abc"), draw.randrange(9)) for _ in range(n)]
+    steps = [some(60), some(10), some(3), some(30)]
+    for kind, options in (("plain", {}), ("bucketed", {"buckets": 7})):
+        for step in steps:
+            write_incremental(spark.createDataFrame(step, KVN), f"{schema}.{kind}", "merge", "k", order_by=["n"], **options)
+    assert rows(stored_rows(spark, f"{schema}.bucketed")) == rows(spark.table(f"{schema}.plain"))
+
+
+def test_buckets_are_kept_added_and_changed(spark, schema, target, batch):
+    name = f"{schema}.t"
+    write_incremental(target, name, "merge", "k")
+    write_incremental(batch, name, "merge", "k", buckets=4)  # an existing table gets them by a rebuild
+    assert rows(stored_rows(spark, name)) == MERGED and "__lm_bucket" in spark.table(name).columns
+    more = spark.createDataFrame([(1, "a", 1, 2.5)], KVN + ", x double")
+    write_incremental(more, name, "merge", "k", on_schema_change="append_new_columns")
+    assert rows(stored_rows(spark, name).where("k = 1").select("k", "v", "n", "x")) == [(1, "a", 1, 2.5)] * 2
+    write_incremental(spark.createDataFrame([(2, "b", 2)], "k bigint, v string, n int").withColumn("x", F.lit(0.5)), name, "merge", "k", widen=True)
+    assert dict(spark.table(name).dtypes)["k"] == "bigint"
+    write_incremental(spark.createDataFrame([(2, "c", 2, 1.5)], "k bigint, v string, n int, x double"), name, "merge", "k")
+    assert rows(stored_rows(spark, name).where("k = 2").select("k", "v", "n", "x")) == [(2, "c", 2, 1.5)]
+    no_key = spark.createDataFrame([("z", 1, 1.0)], "v string, n int, x double")
+    write_incremental(no_key, name, "append", on_schema_change="sync_all_columns")
+    assert spark.table(name).columns == ["v", "n", "x"]
+    with pytest.raises(ValueError, match="unique_key"):
+        write_incremental(target, name, "append", buckets=2)
+
+
+DATED = "day string, id int, v int"
+
+
+@pytest.mark.parametrize("strategy", ["merge", "delete+insert"])
+def test_a_predicate_spares_partitions(spark, schema, strategy):
+    """Only partitions with a row that the predicate accepts, or that batch rows go to, are read and written."""
+    name = f"{schema}.t"
+    have = [(f"d{k % 5}", k, k) for k in range(50)] + [(None, 99, 1)]
+    write_table(spark.createDataFrame(have, DATED), name, partition_by=["day"])
+    before = {day: _files(spark, name, f"day = '{day}'") for day in ("d0", "d1", "d2", "d3", "d4")}
+    new = [("d1", 1, -1), ("d1", 6, -6), ("d2", 2, -2), ("d3", 500, -5), (None, None, 7)]
+    predicate = "day IN ('d1', 'd2') AND v < 20"
+    write_incremental(spark.createDataFrame(new, DATED), name, strategy, "id", predicate=predicate)
+    changed = {1: -1, 6: -6, 2: -2}
+    wanted = [(d, i, changed.get(i, v)) for d, i, v in have] + [("d3", 500, -5), (None, None, 7)]
+    assert rows(spark.table(name).select("day", "id", "v")) == _sorted(wanted)
+    after = {day: _files(spark, name, f"day = '{day}'") for day in before}
+    assert {day for day in before if before[day] == after[day]} == {"d0", "d4"}
+
+
+@pytest.mark.parametrize("strategy", ["merge", "delete+insert"])
+def test_a_row_that_moves_leaves_its_partition(spark, schema, strategy):
+    name = f"{schema}.t"
+    write_table(spark.createDataFrame([("d1", 1, 1), ("d2", 2, 2)], DATED), name, partition_by=["day"])
+    write_incremental(spark.createDataFrame([("d9", 1, 5)], DATED), name, strategy, "id", predicate="day = 'd1'")
+    assert rows(spark.table(name).select("day", "id", "v")) == [("d2", 2, 2), ("d9", 1, 5)]
+
+
+def test_predicate_prunes_the_scan(spark, schema):
+    from lakemodels.sinks.materialize import _touched
+
+    name = f"{schema}.t"
+    write_table(spark.createDataFrame([(f"d{k % 5}", k, k) for k in range(50)], DATED), name, partition_by=["day"])
+    table = spark.table(name)
+    places = table.where("day = 'd1' AND v < 20").select("day")
+    assert "d1" in places._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    plan = _touched(table, places, ["day"])._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "d1" in filters and "d2" not in filters
+
+
+def test_readers_never_miss_a_table_that_is_rebuilt(spark, schema):
+    import threading
+
+    name = f"{schema}.t"
+    write_table(spark.range(10).withColumn("round", F.lit(0)), name)
+    misses, seen, done = [], set(), threading.Event()
+
+    def poll():
+        while not done.is_set():
+            try:
+                found = spark.table(name).groupBy("round").count().collect()
+                assert [r["count"] for r in found] == [10]
+                seen.add(found[0]["round"])
+            except Exception as error:  # noqa: BLE001
+                misses.append(str(error)[:300])
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    try:
+        for k in range(1, 51):
+            write_table(spark.range(10).withColumn("round", F.lit(k)), name)
+    finally:
+        done.set()
+        reader.join()
+    assert not misses and len(seen) > 5 and spark.table(name).first()["round"] == 50
+
+
+def test_rebuilds_in_place_keep_one_former_version(spark, schema):
+    import os
+
+    name = f"{schema}.t"
+    base = spark.catalog.getDatabase(schema).locationUri.removeprefix("file:")
+    write_table(spark.range(3), name)
+    for k in range(3):
+        write_table(spark.range(3 + k).withColumn("more", F.lit(k)), name)  # a column is added, then kept
+    assert spark.table(name).count() == 5 and spark.table(name).columns == ["id", "more"]
+    assert len([f for f in os.listdir(base) if f.startswith("t__")]) == 2
+    write_table(spark.range(3).select(F.col("id").cast("string")), name)  # another type: by renaming
+    assert spark.table(name).dtypes == [("id", "string")]
+    drop_relation(spark, name)
+    assert not [f for f in os.listdir(base) if f.startswith("t")]
+
+
+def test_properties_appear_with_the_new_folder(spark, schema, monkeypatch):
+    from lakemodels.sinks import materialize as sink
+
+    name = f"{schema}.t"
+    write_table(spark.range(1), name)
+    point = sink._point_at
+    monkeypatch.setattr(sink, "_point_at", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        write_table(spark.range(2), name, properties={"lakemodels.x": "it's \\ 1"})
+    assert "lakemodels.x" not in table_properties(spark, name) and spark.table(name).count() == 1
+
+    def dies_after(session, table, folder):
+        point(session, table, folder)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(sink, "_point_at", dies_after)
+    with pytest.raises(KeyboardInterrupt):
+        write_table(spark.range(2), name, properties={"lakemodels.x": "it's \\ 1"})
+    spark.catalog.refreshTable(name)
+    assert table_properties(spark, name)["lakemodels.x"] == "it's \\ 1" and spark.table(name).count() == 2

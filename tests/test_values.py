@@ -253,11 +253,15 @@ def test_integer_widths(spark, low, high, kind):
     [
         (["[1, null]", "[]"], "bigint[]"), (['["a"]'], "text[]"), (["[true]"], "boolean[]"), (["[1.5]"], "double precision[]"), (["[2.0]", "[1e3]"], "double precision[]"), (["[1, 2.5]"], "jsonb"), (["[1]", "not a list"], "jsonb"),
         (["[12345678901234567890]"], "numeric[]"),
+        (["[1]", "[12345678901234567890]"], "numeric[]"), (["[1.5]", "[12345678901234567890]"], "jsonb"), (["[-1.5e-10, 2.5E+3]"], "double precision[]"),
+        (["[1] x"], "jsonb"), (["[1]", None], "bigint[]"), ([None, None], "jsonb"), (['["a]", "[", "\\\\\\"", "x"]'], "text[]"), (['["a"] "b"'], "jsonb"),
+        (["['a']"], "jsonb"), (["[01]"], "jsonb"), (['["1.5", null]', '["2"]'], "text[]"), (["5"], "jsonb"), (['[{"a": 1}]'], "jsonb"), ([" [ 1 , 2 ] "], "bigint[]"),
+        (['["' + "x" * 200_000 + '"]'], "text[]"), (["[" + "1, " * 100_000 + "1]"], "bigint[]"), (["[" + '"a", ' * 100_000 + '"b"]'], "text[]"), (["[1, tru]"], "jsonb"),
         (['[1, "a"]'], "jsonb"), (["[[1]]"], "jsonb"), (["[null]"], "jsonb"), (['{"a":1}'], "jsonb"),
     ],
 )
 def test_json_arrays(spark, values, kind):
-    frame = spark.createDataFrame([(v,) for v in values], "c string")
+    frame = spark.createDataFrame([(v,) for v in values], "c string").repartition(2)
     assert infer.infer_json_arrays(frame, ["c"]).first().inferred_type == kind
 
 
