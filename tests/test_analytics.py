@@ -69,17 +69,87 @@ def test_split_postings_give_the_same_neighbours(spark, monkeypatch):
     assert close(neighbours(spark, texts, 3, max_df=1.0), brute_force_neighbours(texts, 3, max_df=1.0))
 
 
-@pytest.mark.parametrize("texts_per_block, by_block", [(2_000, True), (1, False)])
+@pytest.mark.parametrize("texts_per_block, by_block", [(2_000, True), (20, True), (1, False)])
 def test_both_ways_of_scoring(spark, monkeypatch, texts_per_block, by_block):
-    """Dense candidates go by block, sparse ones pair by pair; the result is the same."""
+    """Texts with many common terms meet by block, others pair by pair; the result is the same."""
     monkeypatch.setattr(tfidf, "_TEXTS_PER_BLOCK", texts_per_block)
-    used, plain = [], tfidf._scored_by_block
-    monkeypatch.setattr(tfidf, "_scored_by_block", lambda *a: used.append(1) or plain(*a))
+    used, plain = [], tfidf._met_by_block
+    monkeypatch.setattr(tfidf, "_met_by_block", lambda *a: used.append(1) or plain(*a))
     texts = [(i, f"one{i % 3} two{i % 5} three{i % 7} four{i % 11}") for i in range(150)]
     assert close(neighbours(spark, texts, 3), brute_force_neighbours(texts, 3))
     assert bool(used) == by_block
 
 
+def test_long_texts_by_block(spark):
+    """Texts of some forty words from a skewed vocabulary, near copies among them."""
+    rng = np.random.default_rng(7)
+    weights = 1 / np.arange(1, 301) ** 0.8
+    words = [rng.choice(300, 40, p=weights / weights.sum()) for _ in range(160)]
+    words += [np.where(rng.random(40) < 0.1, 299, w) for w in words[:40]]
+    texts = [(i, " ".join(f"word{w}" for w in row)) for i, row in enumerate(words)]
+    assert close(neighbours(spark, texts, 3), brute_force_neighbours(texts, 3))
+
+
+def _packed_table(whole, leaders, home, other):
+    """A block as its groups hold it; terms are numbered by the power of two of their texts."""
+    import pyarrow as pa
+
+    column_counts = (whole > 0).sum(axis=0)
+    rows = []
+    for row in whole[leaders]:
+        at = np.flatnonzero(row)
+        entries = np.zeros(len(at), tfidf._ENTRY)
+        entries["term"] = (np.log2(column_counts[at]).astype(np.int64) << tfidf._BAND_BITS) + at
+        entries["weight"] = row[at]
+        rows.append(np.sort(entries, order="term").tobytes())
+    same = [home] * len(leaders), [other] * len(leaders)
+    return pa.table({"leader": leaders, "vector": pa.array(rows, pa.binary()), "threshold": np.full(len(leaders), -1e-6), "block_a": same[0], "block_b": same[1]})
+
+
+def _skewed_matrix(rng, texts, terms=3_000, words=120):
+    weights = 1 / np.arange(1, terms + 1)
+    matrix = np.zeros((texts, terms))
+    for row in matrix:
+        at, times = np.unique(rng.choice(terms, words, p=weights / weights.sum()), return_counts=True)
+        row[at] = times
+    matrix *= np.log((1 + texts) / (1 + (matrix > 0).sum(axis=0))) + 1
+    return matrix / np.linalg.norm(matrix, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_no_neighbour_is_lost_between_blocks(same):
+    n, rng = 3, np.random.default_rng(3)
+    matrix = _skewed_matrix(rng, 500)
+    left, right = (np.arange(500), np.arange(500)) if same else (np.arange(250), np.arange(250, 500))
+    score = matrix @ matrix.T
+    a, b, got = tfidf._meet(
+        _packed_table(matrix, left, 0, 0 if same else 1), _packed_table(matrix, right, 0, 0 if same else 1), n
+    )
+    found = {(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())}
+    found |= {(y, x) for x, y in found}
+    assert np.allclose(got, [score[x, y] for x, y in zip(a.to_pylist(), b.to_pylist())])
+    for x in [*left, *([] if same else right)]:
+        others = [y for y in (right if same or x < 250 else left) if y != x]
+        best = sorted(others, key=lambda y: -score[x, y])[:n]
+        assert {(x, y) for y in best} <= found
+
+
+def test_pairs_that_are_scored_grow_slower_than_all_pairs():
+    """Under a tenth of all pairs outlives the bands, and ten times the texts score under 20 times the pairs."""
+    scored = []
+    for texts in (200, 2_000):
+        rng = np.random.default_rng(5)
+        matrix = _skewed_matrix(rng, texts, 3_000)
+        table = _packed_table(matrix, np.arange(texts), 0, 0)
+        sides = [tfidf._entries(table["vector"].combine_chunks())] * 2
+        needs = [np.full(texts, -1e-6), np.full(texts, -1e-6)]
+        terms = np.unique(sides[0][1]["term"])
+        active = tfidf._active(sides, [texts, texts], needs, terms, 3, True)
+        scored.append(int(active.sum()))
+        assert active.sum() < 0.1 * texts * (texts - 1) / 2
+    assert scored[1] < 20 * scored[0]
+
+
 def test_a_third_of_all_texts_are_one_copy(spark):
     texts = [(i, "same old words here") for i in range(30)] + [(100 + i, f"other number{i} words") for i in range(60)]
     found = neighbours(spark, texts, 2)
