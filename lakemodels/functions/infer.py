@@ -141,7 +141,8 @@ def infer_json_arrays(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i, name in numbered:
         text = col(name)
         # Of a flat list all but its strings is free of brackets, so its end is the end of the text.
-        flat = F.regexp_replace(text, _STRING, "0").rlike(_FLAT_LIST)
+        bare = F.when(F.contains(text, F.lit('"')), F.regexp_replace(text, _STRING, "0")).otherwise(text)
+        flat = bare.rlike(_FLAT_LIST)
         parsed += [F.when(flat, F.try_parse_json(text)).alias(f"v{i}"), text.alias(f"t{i}")]
     folded = []
     for i, name in numbered:
@@ -149,8 +150,9 @@ def infer_json_arrays(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         shape = F.regexp_extract(F.schema_of_variant_agg(value), "^ARRAY<(.*)>$", 1)
         every = F.coalesce(F.bool_and(F.when(text.isNotNull(), value.isNotNull())), F.lit(False))
         # They count only where all items are numbers: then no text holds a string.
-        fraction = F.coalesce(F.bool_or(text.rlike("[0-9][.eE]")), F.lit(False))
-        whole = F.coalesce(F.bool_or(text.rlike(r"[\[,\s]-?[0-9]+\s*[,\]]")), F.lit(False))
+        bare = F.when(~F.contains(text, F.lit('"')), text)
+        fraction = F.coalesce(F.bool_or(bare.rlike("[0-9][.eE]")), F.lit(False))
+        whole = F.coalesce(F.bool_or(bare.rlike(r"[\[,\s]-?[0-9]+\s*[,\]]")), F.lit(False))
         number = F.when(fraction & whole, F.lit("")).when(fraction, F.lit("DOUBLE")).otherwise(F.regexp_extract(shape, "^[A-Z]+", 0))
         known = F.when(shape.rlike("^(BIGINT|DECIMAL|DOUBLE)"), number).otherwise(shape)
         kind = F.lit("jsonb")

@@ -7,6 +7,7 @@ import synthetic
 from pyspark.sql import functions as F
 
 from lakemodels.analytics import isoforest, kmeans, scaling, tfidf
+from lakemodels.operators import quantile
 from lakemodels.operators.quantile import exact_quantile, flag_low
 from lakemodels.operators.windows import GROUP_LIMIT, top_per_group
 
@@ -172,6 +173,30 @@ def test_quantiles_are_exact(spark, q, band):
     assert exact_quantile(frame, F.col("v"), q, band) == pytest.approx(np.quantile(values[:-1], q), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("q", [0, 0.31, 0.5, 1])
+def test_a_sketch_that_is_off_does_no_harm(spark, monkeypatch, q):
+    monkeypatch.setattr(quantile, "_SKETCH", 8)
+    monkeypatch.setattr(quantile, "_RANK_ERROR", 0.002)
+    values = np.random.default_rng(9).normal(size=3_000).round(2)
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
+    assert exact_quantile(frame, F.col("v"), q, 40) == pytest.approx(np.quantile(values, q), rel=1e-12)
+
+
+def test_a_quantile_takes_three_scans(spark, monkeypatch):
+    looks, look = [], quantile._look
+    monkeypatch.setattr(quantile, "_look", lambda *a: looks.append(1) or look(*a))
+    frame = spark.range(500_000).select((F.pmod(F.xxhash64("id"), F.lit(10**12)) / 7.0).alias("v"))
+    exact = np.quantile(np.array([r.v for r in frame.collect()]), 0.123)
+    assert exact_quantile(frame, F.col("v"), 0.123) == pytest.approx(exact, rel=1e-12)
+    assert len(looks) == 2  # and one sort of what is left
+
+
+def test_quantiles_of_infinite_values(spark):
+    inf = float("inf")
+    frame = spark.createDataFrame([(v,) for v in [-inf, -1.0, 0.0, 1.0, inf] * 9], "v double")
+    assert exact_quantile(frame, F.col("v"), 0.5, 3) == 0.0 and exact_quantile(frame, F.col("v"), 0.0, 3) == -inf
+
+
 def test_quantile_edges(spark):
     empty = spark.createDataFrame([], "v double")
     assert exact_quantile(empty, F.col("v"), 0.5) is None

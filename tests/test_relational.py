@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakemodels.operators.relational import anti_join, join_using, keep, project, semi_join, union_all
@@ -110,6 +111,33 @@ def test_running_sum_over_a_hot_group(spark):
     assert got == wanted
 
 
+@pytest.mark.parametrize("slices", [1, 2, 7, 64])
+def test_running_sum_by_several_keys_with_nulls_and_ties(spark, slices):
+    import random
+
+    draw = random.Random(slices)
+    have = [(draw.choice([None, "a", "b"]), draw.choice([None, 1.5, float("nan"), -2.0]), i, draw.randrange(9)) for i in range(400)]
+    frame = spark.createDataFrame(have, "g string, x double, id int, v int").repartition(5)
+    got = running_sum(frame, F.col("v"), ["x", "id"], ["g"], "s", slices).collect()
+    plain = frame.withColumn("s", F.sum("v").over(Window.partitionBy("g").orderBy("x", "id").rowsBetween(Window.unboundedPreceding, 0)))
+    assert {r.id: r.s for r in got} == {r.id: r.s for r in plain.collect()} and len(got) == 400
+    assert running_sum(frame.limit(0), F.col("v"), ["id"], slices=slices).count() == 0
+
+
+def test_running_sum_shuffles_its_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(2000).selectExpr("id", "id % 7 AS v", "cast(id AS string) AS payload").write.parquet(path)
+    summed = running_sum(spark.read.parquet(path), F.col("v"), ["id"], slices=4)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    shuffles = [i for i, line in enumerate(lines) if " Exchange " in line]
+    whole = [i for i in shuffles if not any("HashAggregate" in line for line in lines[i + 1 : i + 4])]
+    assert len(whole) == 1 and "ExistingRDD" not in plan and "rangepartitioning" not in plan
+    # The second scan, for the totals, reads key and value only.
+    schemas = [line.split("ReadSchema: ")[1] for line in lines if "ReadSchema" in line]
+    assert sorted("payload" in s for s in schemas) == [False, True]
+
+
 def test_running_sum_skips_nulls(spark):
     frame = spark.createDataFrame([(1, None), (2, 5), (3, None), (4, 2)], "id int, v int")
     got = running_sum(frame, F.col("v"), ["id"], slices=4).orderBy("id").collect()
