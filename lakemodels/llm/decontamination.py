@@ -6,10 +6,13 @@ values they stand for are its slots. Since a copy may have lost its capitals, a
 keeps names as words.
 
 *Join.* Every run of template words of a benchmark item that is as long as the share of it which decides
-(``words`` at most, ``least_words`` at least) is a window. One with more values than plain words (arithmetic, sequences, tables) is hashed
+(``words`` at most, ``least_words`` at least) is a window, and so is every run of ``least_words`` words: several of them at one distance
+find an item with some words changed. One with more values than plain words (arithmetic, sequences, tables) is hashed
 with its numbers as they stand, so that it meets exact copies only. Document windows join item windows by hash.
 Before that shuffle a Bloom filter of fixed size drops windows that no item has; it can let
-windows through but loses none, and being a fixed number of bits it may be broadcast.
+windows through but loses none, and being a fixed number of bits it may be broadcast. A second one holds the
+runs of ``least_words`` words of all items: a document hashes its runs once, and larger windows only where
+all runs inside pass.
 
 *Slots.* Windows of a document and an item at one distance belong together. They count if their
 slots fit: each value of the item stands for one value of the document and the other way round.
@@ -153,7 +156,6 @@ class Template:
         self.name = name
         self.plain = plain
         self.typed = np.where(name, _NAME_HASH, plain)
-        self._sums: dict[int, tuple[int, np.ndarray]] = {}
         self._values, self._names = (np.concatenate([[0], np.cumsum(m)]) for m in (self.value, name & ~self.value))
 
     def __len__(self) -> int:
@@ -175,22 +177,51 @@ class Template:
         for words, chosen in ((self.typed, typed), (self.plain, plain), (self.literal, dense)):
             at = np.flatnonzero(chosen)
             if len(at):
-                hashes.append(mixed(self._summed(words, size)[at]))
+                hashes.append(_run_hashes(words, size, at))
                 positions.append(at)
                 kinds.append(np.full(len(at), chosen is typed))
-        return (np.concatenate(hashes) >> np.uint64(1)).astype(np.int64), np.concatenate(positions), np.concatenate(kinds)
-
-    def _summed(self, words: np.ndarray, size: int) -> np.ndarray:
-        """Sums of window_hashes; those of a larger size go on from the last smaller one."""
-        done, total = self._sums.get(id(words), (0, None))
-        if done == 0 or done > size:
-            done, total = 0, np.zeros(len(words), np.uint64)
-        n = len(words) - size + 1
-        total = total[:n]
-        for i in range(done, size):
-            total += words[i : i + n] * _factors(size)[i]
-        self._sums[id(words)] = size, total
-        return total
+        return np.concatenate(hashes), np.concatenate(positions), np.concatenate(kinds)
+
+    def runs(self, size: int) -> np.ndarray:
+        """63-bit hashes of all runs of a size in the three readings of the words."""
+        return np.concatenate([_run_hashes(words, size, None) for words in (self.typed, self.plain, self.literal)])
+
+    def found(self, sizes: list[int], size: int, runs: np.ndarray, windows: np.ndarray) -> list[tuple[int, int, int, bool]]:
+        """(size, hash, position, typed?) of the windows that the filters let through.
+
+        ``size`` is that of the filter ``runs``. Readings differ only where a run holds a name or a value, so the
+        second and third are looked at there alone.
+        """
+        out: list[tuple[int, int, int, bool]] = []
+        values, names = (total[size:] - total[:-size] for total in (self._values, self._names))
+        passed = np.zeros(len(values), bool)
+        for reading, words, differs in ((0, self.typed, None), (1, self.plain, names > 0), (2, self.literal, values > 0)):
+            at = None if differs is None else np.flatnonzero(differs)
+            if at is None or len(at):
+                hit = _let_through(runs, _run_hashes(words, size, at))
+                passed = passed.copy()
+                if at is not None:
+                    passed[at] = False
+                passed[hit if at is None else at[hit]] = True
+            elif reading:
+                continue
+            begins = np.flatnonzero(passed)
+            if not len(begins):
+                continue
+            fails = np.append(np.flatnonzero(~passed), len(passed))
+            streak = fails[np.searchsorted(fails, begins)] - begins
+            for wanted in sizes:
+                place = begins[streak > wanted - size]
+                if not len(place):
+                    continue
+                value, name = (total[place + wanted] - total[place] for total in (self._values, self._names))
+                typed, dense = 2 * (value + name) <= wanted, 2 * value > wanted
+                place = place[(typed, ~dense & ((name > 0) | ~typed), dense)[reading]]
+                if len(place):
+                    hashes = _run_hashes(words, wanted, place)
+                    kept = _let_through(windows, hashes)
+                    out += [(wanted, h, p, reading == 0) for h, p in zip(hashes[kept].tolist(), place[kept].tolist(), strict=True)]
+        return out
 
     def slots(self, position: int, size: int, typed: bool) -> list[str]:
         """The values behind the placeholders of a window, with their kind."""
@@ -205,6 +236,17 @@ class Template:
         return out
 
 
+def _run_hashes(words: np.ndarray, size: int, at: np.ndarray | None) -> np.ndarray:
+    """63-bit hashes of the runs of a size, at some places or at all."""
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    total = np.zeros(n if at is None else len(at), np.uint64)
+    for i, factor in enumerate(_factors(size)):
+        total += (words[i : i + n] if at is None else words[at + i]) * factor
+    return (mixed(total) >> np.uint64(1)).astype(np.int64)
+
+
 def window_size(n_words: int, words: int, least_words: int, least_share: float) -> int:
     """Words of the windows of an item: whatever single word is changed, a run of so many is left."""
     return min(words, max(least_words, math.ceil((n_words - 1) * least_share)))
@@ -217,12 +259,11 @@ def _let_through(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return at[in_bloom(bloom, hashes[at])]
 
 
-def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None, least_share: float = 1.0) -> DataFrame:
-    """(id, n_words, size, hash, position, slots) of every window; with a filter only of those it lets through.
+_WINDOW = "id long, n_words int, size int, hash long, position int, slots array<string>"
 
-    Without a filter (items), the windows of an item have the one size that its length asks for.
-    """
-    least, largest = min(sizes), max(sizes)
+
+def _mapped(texts: DataFrame, least: int, windows_of) -> DataFrame:
+    """Rows of _WINDOW for every text (id, text) of at least ``least`` words; ``windows_of`` gives (size, hash, position, typed?)."""
 
     def start():
         known = TemplateWords()
@@ -233,13 +274,7 @@ def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None, least
                 template = Template(known, text)
                 if number is None or len(template) < least:
                     continue
-                wanted = [window_size(len(template), largest, least, least_share)] if bloom is None else sizes
-                made = [(size, *template.windows(size)) for size in wanted if size <= len(template)]
-                hashes, positions, typed = (np.concatenate([m[k] for m in made]) for k in (1, 2, 3))
-                at = np.repeat([m[0] for m in made], [len(m[1]) for m in made])
-                passed = slice(None) if bloom is None else _let_through(bloom, hashes)
-                found = (at[passed], hashes[passed], positions[passed], typed[passed])
-                for size, h, p, t in zip(*(column.tolist() for column in found), strict=True):
+                for size, h, p, t in windows_of(template):
                     out["id"].append(number)
                     out["n_words"].append(len(template))
                     out["size"].append(size)
@@ -250,7 +285,36 @@ def _windows(texts: DataFrame, sizes: list[int], bloom: np.ndarray | None, least
 
         return work
 
-    return map_rows(texts, "id long, n_words int, size int, hash long, position int, slots array<string>", start)
+    return map_rows(texts, _WINDOW, start)
+
+
+def _item_windows(items: DataFrame, words: int, least_words: int, least_share: float) -> DataFrame:
+    """Windows of the size that an item's length asks for, and of the least size."""
+
+    def windows_of(template: Template):
+        for size in sorted({least_words, window_size(len(template), words, least_words, least_share)}):
+            yield from ((size, *w) for w in zip(*(column.tolist() for column in template.windows(size)), strict=True))
+
+    return _mapped(items, least_words, windows_of)
+
+
+def _item_runs(items: DataFrame, size: int) -> DataFrame:
+    """(hash) of every run of a size."""
+
+    def start():
+        known = TemplateWords()
+
+        def work(part):
+            made = [Template(known, text).runs(size) for number, text in zip(part["id"], part["text"], strict=True) if number is not None]
+            return {"hash": np.concatenate([np.zeros(0, np.int64), *made])}
+
+        return work
+
+    return map_rows(items, "hash long", start)
+
+
+def _document_windows(texts: DataFrame, sizes: list[int], size: int, runs: np.ndarray, windows: np.ndarray) -> DataFrame:
+    return _mapped(texts, size, lambda template: template.found(sizes, size, runs, windows))
 
 
 def contaminated(
@@ -265,13 +329,13 @@ def contaminated(
 
     ``exact``: the matched slots have the item's own values. ``position``: template word where the first match begins.
     """
-    items = _windows(
-        benchmark.select(F.col("item_id").cast("long").alias("id"), "text"), list(range(least_words, words + 1)), None, least_share
-    )
-    items = freeze(items)
+    wanted = benchmark.select(F.col("item_id").cast("long").alias("id"), "text")
+    items = freeze(_item_windows(wanted, words, least_words, least_share))
     # At most words - least_words + 1 sizes.
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [words]
-    found = _windows(documents.select(F.col("doc_id").cast("long").alias("id"), "text"), sizes, bloom_of(items, "hash", BLOOM_BITS))
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
+    filters = bloom_of(_item_runs(wanted, least_words), "hash", BLOOM_BITS), bloom_of(items, "hash", BLOOM_BITS)
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
+    found = _document_windows(texts, sizes, least_words, *filters)
     found = found.select(F.col("id").alias("doc_id"), "size", "hash", "position", F.col("slots").alias("there"))
     wanted = items.select(
         F.col("id").alias("item_id"), F.col("n_words").alias("item_words"), "size", "hash", F.col("position").alias("at"), "slots"

@@ -56,6 +56,49 @@ def test_half_of_a_short_item_is_found_around_a_change(spark, frame):
     assert found(spark, frame, texts, items) == [(0, 0, True), (1, 1, True), (2, 2, True)]
 
 
+def test_items_with_several_changed_words_are_found(spark, frame):
+    items = [prose(71, 20), prose(72, 30), prose(73, 30)]
+    words = [item.split() for item in items]
+    two = [w if k not in (6, 13) else "changed" for k, w in enumerate(words[0])]
+    many = [w if k % 6 else "changed" for k, w in enumerate(words[1])]
+    apart = [w if k % 5 else "changed" for k, w in enumerate(words[2])]  # no five words in a row are left
+    assert found(spark, frame, [" ".join(two), " ".join(many), " ".join(apart)], items) == [(0, 0, True), (1, 1, True)]
+
+
+def test_filtered_windows_are_those_of_a_plain_search():
+    """All windows of a text that an item has, in every reading, against windows made one size at a time."""
+    import random
+
+    import numpy as np
+
+    draw, known = random.Random(3), D.TemplateWords()
+    vocabulary = "the cat sat on a mat with Bob and Ann for 3 or 12 km near 5 of 7 in it".split()
+    sentence = lambda n: " ".join(draw.choice(vocabulary) for _ in range(n))
+    written = [sentence(draw.randrange(5, 30)) for _ in range(40)]
+    items = [D.Template(known, item) for item in written]
+    sizes = [5, 7, 9, 12]
+
+    def bloom(values):
+        out = np.zeros(1 << 14, np.int64)
+        for by in D.in_bloom.__globals__["_BLOOM_SHIFTS"]:
+            bit = (values >> by) % (64 * len(out))
+            np.bitwise_or.at(out, bit >> 6, np.int64(1) << (bit & 63))
+        return out
+
+    held = {(size, h) for item in items for size in sizes for h in item.windows(size)[0].tolist()}
+    runs = bloom(np.concatenate([item.runs(5) for item in items]))
+    windows = bloom(np.array([h for _, h in held]))
+    met = 0
+    for _ in range(200):
+        part = draw.choice(written).split()[draw.randrange(4) :][: draw.randrange(4, 30)]
+        text = D.Template(known, " ".join([sentence(draw.randrange(20)), *part, sentence(draw.randrange(20))]))
+        wanted = {(s, h, p, t) for s in sizes for h, p, t in zip(*(c.tolist() for c in text.windows(s))) if (s, h) in held}
+        got = text.found(sizes, 5, runs, windows)
+        assert len(got) == len(set(got)) and wanted <= set(got)
+        met += len(wanted)
+    assert met > 100
+
+
 def test_no_window_is_lost_by_the_filter(spark, frame):
     """Against a plain search for all runs of twelve words."""
     items = [prose(s, 40) for s in range(20)]
