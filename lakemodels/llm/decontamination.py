@@ -342,7 +342,8 @@ def contaminated(
     )
     met = found.join(wanted, ["hash", "size"]).where(F.size("there") == F.size("slots"))
     # A document that holds an item has one row per window here, so a group is as long as the item at most.
-    diagonal = met.groupBy("doc_id", "item_id", "item_words", (F.col("position") - F.col("at")).alias("distance")).agg(
+    # Sizes are judged apart: short windows that do not fit say nothing against a long one that does.
+    diagonal = met.groupBy("doc_id", "item_id", "item_words", "size", (F.col("position") - F.col("at")).alias("distance")).agg(
         F.collect_set(F.struct("at", "size")).alias("windows"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "there")))).alias("pairs"),
         F.min("position").alias("position"),
