@@ -381,6 +381,25 @@ def test_dependents_are_resolved_not_guessed(spark, schema):
     spark.sql(f"DROP SCHEMA {other}")
 
 
+def test_only_views_that_name_the_table_are_resolved(spark, schema, monkeypatch):
+    from lakemodels.sinks import materialize as sink
+
+    name, resolved, read = f"{schema}.orders", [], sink._relations_read
+    monkeypatch.setattr(sink, "_relations_read", lambda session, view: resolved.append(view) or read(session, view))
+    write_table(spark.range(3), name)
+    for k in range(8):
+        write_view(spark.table(name), f"{schema}.orders_view_{k}")
+    spark.sql(f"CREATE VIEW {schema}.apart AS SELECT 1 AS one")
+    spark.sql(f"CREATE VIEW {schema}.words AS SELECT 'orders' AS word")
+    spark.sql(f"CREATE VIEW {schema}.`oddly` AS SELECT * FROM {schema}.`ORDERS`")
+    spark.sql(f"CREATE VIEW {schema}.above AS SELECT * FROM {schema}.`oddly`")
+    spark.sql(f"CREATE VIEW {schema}.on_own AS SELECT * FROM {schema}.orders_view_1")
+    assert sorted(dependent_views(spark, name)) == [f"{schema}.above", f"{schema}.oddly"]
+    assert not [v for v in resolved if "orders_view_" in v or v.endswith("apart")]
+    backing = next(t.name for t in spark.catalog.listTables(schema) if t.name.startswith("orders_view_1__data_"))
+    assert sorted(dependent_views(spark, f"{schema}.{backing}")) == [f"{schema}.on_own", f"{schema}.orders_view_1"]
+
+
 @pytest.mark.parametrize("kind", ["table", "view"])
 def test_a_failing_swap_gives_the_old_name_back(spark, schema, target, monkeypatch, kind):
     from lakemodels.sinks import materialize as sink
