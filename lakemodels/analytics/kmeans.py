@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
-from operator import itemgetter
+from operator import and_, itemgetter
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemodels.operators.relational import col
-from lakemodels.sources.workspace import fresh_dir, remove_dir
+from lakemodels.sources.workspace import freeze
+
+# Distinct rows per partition of the fit; fixed, as partitions decide about the starts.
+_ROWS_PER_PART = 1_000_000
 
 
 def kmeans_clusters(
@@ -47,35 +52,40 @@ def fit_centroids(
 
     Only k centers and two vectors of statistics reach the driver.
     """
-    # Every run passes over the features many times: store them once, in as few files as their size asks for.
-    spark, path = df.sparkSession, fresh_dir(df.sparkSession, "features")
-    df.select(*[col(c).cast("double").alias(c) for c in features]).write.parquet(path)
-    assembled = VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="skip").transform(
-        spark.read.parquet(path)
-    )
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembled)
-    scaled = scaler.transform(assembled).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    # Every run passes over the features many times. Equal rows count once, by weight; they lie in partitions and in an order that
+    # follow from their values alone, so that the seeded starts do not depend on how the input was dealt.
+    spark, names = df.sparkSession, [f"x{i}" for i in range(len(features))]
+    rows = df.select(*[col(c).cast("double").alias(x) for c, x in zip(features, names)])
+    valid = rows.where(reduce(and_, [F.col(x).isNotNull() & ~F.isnan(x) for x in names]))
+    weighed = freeze(valid.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    parts = 1 + weighed.count() // _ROWS_PER_PART
+    dealt = freeze(weighed.repartition(parts, F.xxhash64(*names)).sortWithinPartitions(*names))
+    share = F.col("weight") / F.lit(dealt.agg(F.sum("weight")).first()[0])
+    mean = list(dealt.agg(*[F.sum(share * F.col(x)) for x in names]).first())
+    spread = [F.sum(F.col("weight") * (F.col(x) - F.lit(m)) ** 2) / (F.sum("weight") - 1) for x, m in zip(names, mean)]
+    deviation = [math.sqrt(v or 0.0) or 1.0 for v in dealt.agg(*spread).first()]
+    units = [((F.col(x) - F.lit(m)) / F.lit(d)).alias(x) for x, m, d in zip(names, mean, deviation)]
+    scaled = VectorAssembler(inputCols=names, outputCol="features").transform(dealt.select(*units, "weight"))
+    scaled = scaled.select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # Runs are independent: a few at a time keep the executors busy.
         def run(attempt: int):
-            model = KMeans(k=k, seed=seed + attempt, maxIter=max_iter).fit(scaled)
+            model = KMeans(k=k, seed=seed + attempt, maxIter=max_iter, weightCol="weight").fit(scaled)
             return model.summary.trainingCost, attempt, model
 
         with ThreadPool(min(8, restarts)) as pool:
             best = min(pool.map(inheritable_thread_target(spark)(run), range(restarts)), key=itemgetter(0, 1))[2]
     finally:
         scaled.unpersist()
-        remove_dir(spark, path)
-    mean, deviation = scaler.mean.toArray(), scaler.std.toArray()
     centers = sorted(
-        ([float(v) for v in center * deviation + mean], [float(v) for v in center])
+        ([float(v) * d + m for v, d, m in zip(center, deviation, mean)], [float(v) for v in center])
         for center in best.clusterCenters()
     )
     return {
         "original": [original for original, _ in centers],
         "scaled": [center for _, center in centers],
-        "mean": [float(v) for v in mean],
-        "deviation": [float(v) for v in deviation],
+        "mean": mean,
+        "deviation": deviation,
     }
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, and_
+
 from pyspark.sql import functions as F
 
 from lakemodels.analytics import isoforest, kmeans, scaling, tfidf
@@ -116,6 +119,31 @@ def kmeans_clusters(spark, folder):
     return kmeans.kmeans_clusters(_customer_features(spark, folder), _FEATURES)
 
 
+@plan("""
+    SELECT o_custkey AS customer_id, CAST(0 AS BIGINT) AS nearer_centroids, true AS centroid_is_mean FROM orders GROUP BY 1
+""")
+def kmeans_invariants(spark, folder):
+    """What holds for any k-means result: no other centroid is nearer to a row, and a centroid is its members' mean.
+
+    Both up to what the last iteration may still move: a hundredth of a standard deviation.
+    """
+    clusters = kmeans.kmeans_clusters(_customer_features(spark, folder), _FEATURES)
+    means = clusters.groupBy("cluster_id", "centroid").agg(*[F.avg(c).alias(f"mean_{c}") for c in _FEATURES])
+    spreads = clusters.agg(*[F.stddev(c).alias(f"spread_{c}") for c in _FEATURES])
+    # One row per cluster and one row.
+    known = means.crossJoin(spreads).withColumn(
+        "centroid_is_mean",
+        reduce(and_, [F.abs(F.col(f"centroid.{c}") - F.col(f"mean_{c}")) <= F.col(f"spread_{c}") / 100 for c in _FEATURES]),
+    )
+    listed = known.agg(F.collect_list(F.struct("cluster_id", "centroid", "centroid_is_mean", *[f"spread_{c}" for c in _FEATURES])).alias("known"))
+    far = lambda m: F.sqrt(reduce(add, [((F.col(c) - m["centroid"][c]) / m[f"spread_{c}"]) ** 2 for c in _FEATURES]))
+    own = F.filter("known", lambda m: m["cluster_id"] == F.col("cluster_id"))[0]
+    nearer = F.size(F.filter("known", lambda m: far(m) + 0.01 < far(F.filter("known", lambda o: o["cluster_id"] == F.col("cluster_id"))[0])))
+    return clusters.crossJoin(F.broadcast(listed)).select(
+        "customer_id", nearer.cast("bigint").alias("nearer_centroids"), own["centroid_is_mean"].alias("centroid_is_mean")
+    )
+
+
 @plan()
 def isolation_forest(spark, folder):
     orders = read(spark, folder, "orders").select(

@@ -228,6 +228,19 @@ def test_kmeans_finds_the_planted_kinds(spark):
     people.unpersist()
 
 
+def test_kmeans_does_not_depend_on_partitions(spark):
+    people = synthetic.customers(spark, 400).cache()
+    features = ["orders_last_90d", "avg_order_value", "days_since_signup"]
+    doubled = people.unionByName(people)  # equal rows count by weight
+    fits = [kmeans.fit_centroids(frame.repartition(n), features, restarts=2) for n, frame in ((1, people), (7, people), (64, people), (5, doubled))]
+    for other in fits[1:3]:
+        assert np.allclose(other["original"], fits[0]["original"], rtol=1e-9) and np.allclose(other["scaled"], fits[0]["scaled"], rtol=1e-9)
+    assert np.allclose(fits[3]["original"], fits[0]["original"], rtol=0.02)
+    odd = people.unionByName(people.limit(3).withColumn("avg_order_value", F.lit(None).cast(people.schema["avg_order_value"].dataType)))
+    assert np.allclose(kmeans.fit_centroids(odd, features, restarts=2)["original"], fits[0]["original"], rtol=1e-9)
+    people.unpersist()
+
+
 def test_isolation_forest_finds_the_planted_rows(spark):
     placed = synthetic.orders(spark, 3000)
     from lakemodels.functions import scalars
