@@ -6,7 +6,9 @@ letters or digits, one spelling for licence; bigrams are a set, and a single wor
 
 *Bounds.* A passage of n bigrams reaches the threshold t against a template of m only if n is between
 m t / (2 - t) and m (2 - t) / t, and if it shares at least m t / (2 - t) of them. So a text that does not
-hold that many of a template's bigrams anywhere is done with it, and a run ends where it grows too long.
+hold that many of a template's bigrams anywhere is done with it, and a run ends where it grows too long. Of
+runs with one beginning and one bigram set only the shortest is looked at, so that a text of any number of
+equal lines costs a few steps a line.
 
 *Choice.* Of overlapping passages the one with the best score stays (ties: the longer template, then the
 earlier passage, then the licence's name). The result has a row per passage; a text without one has none.
@@ -166,42 +168,81 @@ class Templates:
         words = [words_of(text[a:b]) for a, b in units]
         full = [i for i, w in enumerate(words) if w]
         units, words = [units[i] for i in full], [words[i] for i in full]
-        passages = [p for number in numbers for p in self._passages(number, words)]
+        made = _Units(words)
+        passages = [p for number in numbers for p in self._passages(number, made)]
         passages.sort(key=lambda p: (-p[0], -len(self.sets[p[3]]), p[1], p[2], p[3]))
         out = []
-        used = [False] * len(units)
+        used = bytearray(len(units))
         for score, i, j, number in passages:
-            if not any(used[i : j + 1]):
-                used[i : j + 1] = [True] * (j + 1 - i)
+            if used.find(1, i, j + 1) < 0:
+                used[i : j + 1] = b"\1" * (j + 1 - i)
                 start = units[i][0] + len(text[slice(*units[i])]) - len(text[slice(*units[i])].lstrip())
                 out.append((start, units[j][1], self.names[number], score))
         return sorted(out)
 
-    def _passages(self, number: int, words: list[list[str]]):
-        """(score, first unit, last unit, template) of every run of units that reaches the threshold."""
+    def _passages(self, number: int, units: _Units):
+        """(score, first unit, last unit, template) of runs of units that reach the threshold.
+
+        Of the runs with one first unit and one bigram set only the shortest is given: the others hold it, score
+        alike, and so could never be chosen. Going from the last unit to the first, ``ahead`` keeps the distinct
+        bigrams by their next place, the nearest last. A first unit looks at no more of them than a passage may
+        hold, so the work is units times passage size however often lines repeat.
+        """
         wanted, most, least = self.sets[number], self.most[number], self.least[number]
-        crossing = [(w[-1], v[0]) for w, v in zip(words, words[1:], strict=False)] + [None]
-        own = [bigrams(w) if len(w) > 1 else set() for w in words]
-        near = [
-            i for i in range(len(words))
-            if own[i] & wanted or crossing[i] in wanted or (i and crossing[i - 1] in wanted) or (tuple(words[i]) in wanted)
-        ]
-        is_near = set(near)
-        for i in near:
-            held: set[tuple[str, ...]] = set()
-            for j in range(i, len(words)):
-                if j > i:
-                    held.add(crossing[j - 1])
-                held |= own[j]
-                whole = held or {tuple(words[j])}
-                if len(whole) > most:
-                    break
-                if j in is_near and len(whole) >= least:
-                    score = dice(whole, wanted)
-                    if score >= self.threshold:
+        own, crossing, single, n = units.own, units.crossing, units.single, len(units.own)
+        ahead: dict[tuple[str, ...], int] = {}
+        next_near = n
+        near_from = [n] * (n + 1)
+        for i in range(n - 1, -1, -1):
+            into = crossing[i - 1] if i else None
+            if i + 1 < n:
+                ahead.pop(crossing[i], None)
+                ahead[crossing[i]] = i + 1
+            for bigram in own[i]:
+                ahead.pop(bigram, None)
+                ahead[bigram] = i
+            is_near = not own[i].isdisjoint(wanted) or crossing[i] in wanted or into in wanted or single[i] in wanted
+            if is_near:
+                next_near = i
+            near_from[i] = next_near
+            if not is_near:
+                continue
+            if not own[i]:
+                if least <= 1 <= most and (score := dice({single[i]}, wanted)) >= self.threshold:
+                    yield score, i, i, number
+            size = shared = at = 0
+            for bigram, place in reversed(ahead.items()):
+                if place != at and size:
+                    if size > most:
+                        break
+                    if (score := 2 * shared / (size + len(wanted))) >= self.threshold and size >= least:
+                        j = near_from[at]
+                        if j < place:
+                            yield score, i, j, number
+                at = place
+                size += 1
+                shared += bigram in wanted
+            else:
+                if least <= size <= most and (score := 2 * shared / (size + len(wanted))) >= self.threshold:
+                    if (j := near_from[at]) < n:
                         yield score, i, j, number
 
 
+class _Units:
+    """Bigrams of every unit of a text: its own, the one into the next unit, and its word if it has only one."""
+
+    def __init__(self, words: list[list[str]]):
+        known: dict[tuple[str, ...], frozenset] = {}
+        self.own = []
+        for unit in words:
+            key = tuple(unit)
+            if key not in known:
+                known[key] = frozenset(bigrams(unit)) if len(unit) > 1 else frozenset()
+            self.own.append(known[key])
+        self.crossing = [(w[-1], v[0]) for w, v in zip(words, words[1:], strict=False)] + [None]
+        self.single = [tuple(w) if len(w) == 1 else None for w in words]
+
+
 def scan(documents: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, license, dice, start, end) of every licence passage in (doc_id, text); code points, end exclusive."""
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from conftest import DATA, rows
 from llm_data import frame, prose  # noqa: F401
 
@@ -64,3 +66,54 @@ def test_rows_that_are_odd(frame):
     got = L.scan(df)
     assert rows(got.groupBy("doc_id").count()) == [(None, 1), (3, 2), (5, 3000)]
     assert L.scan(frame([])).count() == 0
+
+
+def test_many_equal_lines_cost_a_few_steps_each():
+    """20 000 lines, alone and with other lines between; memory and time grow with the lines."""
+    import time
+    import tracemalloc
+
+    line, known = "Released under the MIT License.", L.Templates(L.TEMPLATES, L.THRESHOLD)
+    known.scan(line)
+    for text in [(line + "\n") * 20_000, "".join(f"{line}\nother words {i % 7}\n" for i in range(10_000)), "license\n" * 20_000 + line]:
+        began = time.process_time()
+        tracemalloc.start()
+        found = known.scan(text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == text.count(line)
+        assert peak < 200e6
+        assert time.process_time() - began < 20  # tracing slows it several times
+
+
+def every_run(words, wanted, threshold):
+    """(score, first, last) of all runs of units whose ends share a bigram, or one with a neighbour, with the template."""
+    cross = [(a[-1], b[0]) for a, b in zip(words, words[1:])]
+    near = [
+        i for i, w in enumerate(words)
+        if L.bigrams(w) & wanted or (i < len(cross) and cross[i] in wanted) or (i and cross[i - 1] in wanted)
+    ]
+    for i in near:
+        for j in near:
+            score = L.dice(L.bigrams(sum(words[i : j + 1], [])), wanted) if i <= j else 0
+            if score >= threshold:
+                yield score, i, j
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_single_words_and_repeats_equal_all_runs(threshold):
+    small = {"one": ["license"], "two": ["license terms"], "three": ["license terms license terms apply here"]}
+    draw, known = random.Random(5), L.Templates(small, threshold)
+    for _ in range(300):
+        units = [draw.choice(["license", "terms", "license terms", "apply here", "x"]) for _ in range(draw.randrange(1, 12))]
+        runs = [
+            (-score, -len(known.sets[n]), i, j, n)
+            for n in known.candidates("\n".join(units))
+            for score, i, j in every_run([u.split() for u in units], known.sets[n], threshold)
+        ]
+        used, wanted = set(), []
+        for score, _, i, j, n in sorted(runs):
+            if not used & set(range(i, j + 1)):
+                used |= set(range(i, j + 1))
+                wanted.append((sum(len(u) + 1 for u in units[:i]), known.names[n], -score))
+        assert [(g[0], g[2], g[3]) for g in known.scan("\n".join(units))] == sorted(wanted), units
