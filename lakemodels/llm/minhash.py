@@ -21,17 +21,20 @@ leaves out what step 3 has connected and whatever rank and size exclude.
 
 Null and empty texts, and texts without a word, have an empty set and link with nothing. A text
 with fewer words than a shingle is one shingle. A row without doc_id is a class of its own with
-a null class id and is kept. Rows that share a doc_id are separate documents under one id.
+a null class id and is kept. Rows that share a doc_id are separate documents under one id: each text keeps
+its own links, and their classes carry the smallest doc_id of any member.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemodels.llm.common import (
     HashedWords,
@@ -64,8 +67,12 @@ def shingle_set(words: list[bytes], numbered: HashedWords, size: int = SHINGLE_W
     return np.unique(hashes >> np.uint64(1)).astype(np.int64)
 
 
-def signatures(documents: DataFrame, size: int = SHINGLE_WORDS, k: int = SKETCH) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, sketch) of every row of (doc_id, text)."""
+def signatures(
+    documents: DataFrame, size: int = SHINGLE_WORDS, k: int = SKETCH, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, n_shingles, digest of the set, sketch) of every row of (doc_id, text), and the columns ``carry``."""
+    carried = documents.select(*carry).schema
+    schema = T.StructType.fromDDL("doc_id long, n_shingles long, digest binary, sketch array<long>")
 
     def start():
         numbered = HashedWords()
@@ -77,33 +84,32 @@ def signatures(documents: DataFrame, size: int = SHINGLE_WORDS, k: int = SKETCH)
                 "n_shingles": [len(s) for s in sets],
                 "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                 "sketch": [s[:k] for s in sets],
+                **{name: part[name] for name in carry},
             }
 
         return work
 
-    return map_rows(
-        documents.select("doc_id", "text"), "doc_id long, n_shingles long, digest binary, sketch array<long>", start
-    )
+    return map_rows(documents.select("doc_id", "text", *carry), T.StructType(schema.fields + carried.fields), start)
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc, n, shingles) of the documents in ``wanted`` (doc, digest); the digest picks the right row of an id.
+    """(doc, n, shingles) of the classes in ``wanted`` (doc, id, digest); the digest picks the right row of an id.
 
     A Bloom filter of fixed size on the hashed ids keeps most other texts from being read into sets; the
     join then leaves exactly the wanted ones, and no text is shuffled.
     """
-    bloom = bloom_of(wanted.select(F.xxhash64("doc").alias("hash")), "hash", BLOOM_BITS)
+    bloom = bloom_of(wanted.select(F.xxhash64("id").alias("hash")), "hash", BLOOM_BITS)
 
     def start():
         numbered = HashedWords()
 
         def work(part):
-            out: dict[str, list] = {"doc": [], "digest": [], "shingles": []}
+            out: dict[str, list] = {"id": [], "digest": [], "shingles": []}
             passed = in_bloom(bloom, np.array(part["hash"], np.int64))
-            for doc, text, chosen in zip(part["doc"], part["text"], passed, strict=True):
+            for doc_id, text, chosen in zip(part["id"], part["text"], passed, strict=True):
                 if chosen:
                     shingles = shingle_set(ascii_words(text), numbered, size)
-                    out["doc"].append(doc)
+                    out["id"].append(doc_id)
                     out["digest"].append(xxhash.xxh3_128_digest(shingles.tobytes()))
                     out["shingles"].append(shingles)
             return out
@@ -111,10 +117,10 @@ def full_sets(documents: DataFrame, wanted: DataFrame, size: int = SHINGLE_WORDS
         return work
 
     texts = documents.where("doc_id is not null").select(
-        F.col("doc_id").alias("doc"), F.xxhash64("doc_id").alias("hash"), "text"
+        F.col("doc_id").alias("id"), F.xxhash64("doc_id").alias("hash"), "text"
     )
-    made = map_rows(texts, "doc long, digest binary, shingles array<long>", start)
-    exact = made.join(wanted.select("doc", "digest"), ["doc", "digest"], "left_semi")
+    made = map_rows(texts, "id long, digest binary, shingles array<long>", start)
+    exact = made.join(wanted.select("doc", "id", "digest"), ["id", "digest"])
     return exact.dropDuplicates(["doc"]).select("doc", F.size("shingles").cast("long").alias("n"), "shingles")
 
 
@@ -148,15 +154,22 @@ def verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int, nee
 
 
 def near_duplicates(
-    documents: DataFrame, size: int = SHINGLE_WORDS, k: int = SKETCH, need: int = NEED, percent: int = PERCENT
+    documents: DataFrame,
+    size: int = SHINGLE_WORDS,
+    k: int = SKETCH,
+    need: int = NEED,
+    percent: int = PERCENT,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = freeze(signatures(documents, size, k))
+    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text), and its columns ``carry``."""
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    signed = freeze(signatures(documents, size, k, carry))
     whole = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = freeze(
-        whole.groupBy("digest", F.col("n_shingles").alias("n")).agg(
-            F.min("doc_id").alias("doc"), F.any_value("sketch").alias("sketch")
+    classes, shared_ids = _named_classes(
+        freeze(
+            whole.groupBy("digest", F.col("n_shingles").alias("n")).agg(
+                F.min("doc_id").alias("id"), F.any_value("sketch").alias("sketch")
+            )
         )
     )
 
@@ -178,23 +191,44 @@ def near_duplicates(
 
     # The links of the second step join the components of the first.
     named = (
-        classes.select("digest", "doc")
+        classes.select("digest", "id", "doc")
         .join(first.select(F.col("node").alias("doc"), F.col("component").alias("c1")), "doc", "left")
         .withColumn("c1", F.coalesce("c1", "doc"))
         .join(second.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
-        .select("digest", F.coalesce("c2", "c1").alias("found"))
+        .select("digest", "id", "doc", F.coalesce("c2", "c1").alias("node"))
     )
+    least = F.col("node")
+    if shared_ids:
+        # A component with a class that has no id of its own is named by the smallest id among its members.
+        unnamed = named.where("doc <> id").select("node").distinct()
+        ids = named.join(unnamed, "node", "left_semi").groupBy("node").agg(F.min("id").alias("least_id"))
+        named, least = named.join(compact(ids), "node", "left"), F.coalesce("least_id", "node")
+    named = named.select("digest", least.alias("found"))
     # Every class has one row here; the hot key is on the left side, which Spark may split.
-    joined = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    joined = signed.select("doc_id", "n_shingles", "digest", *carry).join(named, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id"))
     return joined.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        *carry,
     )
 
 
+def _named_classes(classes: DataFrame) -> tuple[DataFrame, bool]:
+    """The classes (digest, n, id, sketch) with ``doc``, the number each goes by in links, and if any is not its id.
+
+    Classes of different texts under one id go by a hash of id and digest.
+    """
+    several = freeze(classes.groupBy("id").agg(F.count("*").alias("texts")).where("texts > 1"))
+    if several.isEmpty():
+        return classes.withColumn("doc", F.col("id")), False
+    doc = F.when(F.col("texts").isNull(), F.col("id")).otherwise(F.xxhash64("id", "digest"))
+    joined = classes.join(several, "id", "left").select("digest", "n", "id", "sketch", doc.alias("doc"))
+    return freeze(joined), True
+
+
 def _lists(classes: DataFrame, k: int, need: int) -> DataFrame:
     """(value, doc, n_shared): the lists that a document enters. A value of one document alone makes no list."""
     postings = classes.select("doc", "n", F.explode("sketch").alias("value"))

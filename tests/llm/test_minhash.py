@@ -70,6 +70,21 @@ def test_rows_that_are_odd(frame):
     )
 
 
+def test_texts_under_one_id_keep_their_own_links(frame):
+    """Two texts under 5, a near copy of the second under 9; both texts under 5 near copies under 3 and 8."""
+    a, b, c = prose(11, 100), prose(12, 100), prose(13, 100)
+    df = frame([(5, a), (5, b), (9, edited(b, 1, 4)), (20, c), (20, edited(a, 1, 5)), (3, edited(c, 1, 6)), (21, a)])
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in M.near_duplicates(df).collect())
+    assert got == [(3, 3, True), (5, 5, True), (5, 5, True), (9, 5, False), (20, 3, False), (20, 5, False), (21, 5, False)]
+
+
+def test_carried_columns_stay_with_their_rows(frame):
+    text = prose(3, 40)
+    df = frame([(1, text), (2, text), (3, None), (None, text)]).selectExpr("*", "doc_id * 10 AS mine", "length(text) AS size")
+    got = {r.doc_id: (r.kept, r.mine, r.size) for r in M.near_duplicates(df, carry=["mine", "size"]).collect()}
+    assert got == {1: (True, 10, len(text)), 2: (False, 20, len(text)), 3: (True, 30, None), None: (True, None, len(text))}
+
+
 def test_empty_table(frame):
     assert M.near_duplicates(frame([])).count() == 0
 

@@ -4,6 +4,7 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 from conftest import DATA
+from llm_data import frame  # noqa: F401
 from test_minhash import brute as near_classes
 from test_secrets import brute_base
 from tokenizers import Tokenizer
@@ -82,6 +83,14 @@ def test_run_is_the_stages(spark, stages):
     assert got == {r.doc_id: r.n_tokens for r in stages[-1].collect()}
 
 
+def test_only_the_copy_goes_where_an_id_has_several_texts(frame):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    docs = frame([(3, b), (5, a), (5, b), (8, c), (8, c + " end"), (8, c), (9, "  ".join(c.split()))])
+    got = sorted((r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_near_copies(docs.sparkSession, docs, DATA).collect())
+    assert got[:2] == [(3, b), (5, a)]
+    assert len(got) == 3 and got[2][0] == 8 and got[2][1] in (c, c + " end")
+
+
 def test_rows_that_are_odd(spark):
     rows = [(1, "same text of more than five words", "en", "a", 33), (1, "same text of more than five words", "en", "a", 33),
             (None, "no id here", None, None, None), (3, None, "en", "a", None), (4, "", "en", "a", 0)]
