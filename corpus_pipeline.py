@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakemodels.llm import bpe, decontamination, minhash, secrets, toxicity
 from lakemodels.llm.plans import read
-from lakemodels.sources.workspace import fresh_dir, remove_dir
+from lakemodels.sources.workspace import freeze, fresh_dir, remove_dir
 
 REJECTED_FROM = 0.7
 
@@ -30,9 +30,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every class of near duplicates."""
-    copies = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    """One document of every class of near duplicates: of the rows with its smallest doc_id, the one least by digest.
+
+    A row is known by doc_id and the digest of its text, so other texts under the doc_id of a copy stay.
+    """
+    keyed = docs.select("doc_id", "text", F.md5("text").alias("row_digest"))
+    marked = freeze(minhash.near_duplicates(keyed, carry=["row_digest"]).where("doc_id is not null and n_shingles > 0"))
+    first = marked.where("kept").groupBy("component_id").agg(
+        F.min("row_digest").alias("first"), F.max("row_digest").alias("last")
+    )
+    others = marked.where("kept").join(first.where("first < last"), "component_id").where("row_digest > first")
+    copies = marked.where("not kept").select("doc_id", "row_digest").unionByName(others.select("doc_id", "row_digest"))
+    named = docs.select(*[F.col(c).alias(f"in_{c}") for c in docs.columns])
+    same = (F.col("in_doc_id") == F.col("doc_id")) & (F.md5("in_text") == F.col("row_digest"))
+    left = named.join(copies.distinct(), same, "left_anti")
+    return left.select(*[F.col(f"in_{c}").alias(c) for c in docs.columns]).dropDuplicates(["doc_id", "text"])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
