@@ -12,7 +12,8 @@ matches with signs for one or both of its inner letters, and, as one error, with
 or letters repeated.
 
 *Score.* Each match weighs what its (term, errors) showed on the sample. A match within
-quotation marks, or after a word of reporting, counts to the quoted sum, any other to the
+quotation marks (an opening one before it, its own closing one behind it; a sign between letters is an
+apostrophe), or after a word of reporting, counts to the quoted sum, any other to the
 direct sum, which a form of address nearby raises. A logistic regression on both sums gives
 the score, so it lies between 0 and 1 and rises with the evidence.
 
@@ -37,8 +38,8 @@ from pyspark.sql.types import StructType
 from lakemodels.llm.common import HashedWords, ascii_words, map_rows, window_hashes
 from lakemodels.llm.plans import PLANS, read
 
-# Quotation marks, words of reporting and forms of address in the four languages.
-QUOTES = "\"“”„«»‹›‘’"
+# Opening quotation marks with those that close them, words of reporting and forms of address in the four languages.
+QUOTES = {"\"": "\"", "“": "”", "„": "“”", "«": "»", "»": "«", "‹": "›", "›": "‹", "‘": "’", "‚": "‘’"}
 REPORTING = set(
     "said says say called calls wrote writes quoted quote quotes term word dit disait écrit appelle mot terme "
     "sagte sagt schrieb nannte wort begriff dijo dice escribió llamó palabra término".split()
@@ -49,6 +50,8 @@ _WORD = re.compile(r"[^\W\d_]+(?:[@$!*0-9]+[^\W\d_]+)*")
 _LEET = str.maketrans("013457@$!", "oieastasi")
 _MASKED = str.maketrans(dict.fromkeys("@$!*0123456789", "*"))
 _RUN = re.compile(r"(.)\1+")
+# Between letters a sign is an apostrophe, whatever its form.
+_APOSTROPHE = re.compile(r"(?<=[^\W\d_])[’‘](?=[^\W\d_])")
 
 
 @dataclass(frozen=True)
@@ -61,7 +64,6 @@ class Settings:
     least_precision: float = 0.97
     shortest: int = 4
     longest: int = 12
-    terms: int = 400
     window: int = 5
 
 
@@ -219,12 +221,20 @@ def context_of(text: str, spans: list[tuple[int, int]], words: list[str], at: in
     lo, hi = max(0, at - window), min(len(words), at + window + 1)
     before = text[spans[lo][0] : spans[at][0]]
     after = text[spans[at][1] : spans[hi - 1][1] + 1]
-    # An odd number of marks before the word opens a quotation that a mark behind it closes.
-    opened = sum(before.count(q) for q in QUOTES) % 2 == 1
-    closed = any(q in after for q in QUOTES)
     reported = any(w in REPORTING for w in words[max(0, at - 3) : at])
     addressed = any(w in ADDRESS for w in words[lo:hi])
-    return (opened and closed) or reported, addressed
+    return _quoted(before, after) or reported, addressed
+
+
+def _quoted(before: str, after: str) -> bool:
+    """Whether a mark opens a quotation in ``before`` that its own closing mark ends in ``after``."""
+    opened = None
+    for sign in before:
+        if opened and sign in QUOTES[opened]:
+            opened = None
+        elif opened is None and sign in QUOTES:
+            opened = sign
+    return opened is not None and any(sign in QUOTES[opened] for sign in after)
 
 
 def evidence(matcher: Matcher, weight: dict[tuple[str, int], float], text: str | None, window: int):
@@ -233,7 +243,7 @@ def evidence(matcher: Matcher, weight: dict[tuple[str, int], float], text: str |
     found = {w: m for w, m in matcher.in_words(words).items() if weight.get(m, 0.0) > 0}
     if not found:
         return 0.0, 0.0, []
-    lowered = text.lower()
+    lowered = _APOSTROPHE.sub("'", text.lower())
     spans = [m.span() for m in _WORD.finditer(lowered)]
     direct, quoted, matches = 0.0, 0.0, []
     for at, word in enumerate(words):
@@ -279,14 +289,13 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, settings:
     evidence = F.col("toxic") * F.log(F.col("toxic") / (all_of * share)) + F.col("clean") * F.log(
         (F.col("clean") + 1e-9) / (all_of * (1 - share))
     )
+    # Terms come from the bounded sample and need several of its toxic documents each: so few reach the driver.
     found = (
         support.where((F.col("term") != "") & (F.col("toxic") > 1) & (evidence >= settings.least_evidence))
         .where((F.col("toxic") / n[1]) / (F.col("toxic") / n[1] + rate) >= settings.least_precision)
-        .orderBy(F.desc("toxic"), "term")
-        .limit(settings.terms * 50)
         .collect()
     )
-    terms = _closed_terms({r["term"]: r["toxic"] for r in found})[: settings.terms]
+    terms = _closed_terms({r["term"]: r["toxic"] for r in found})
     return _weights(texts, terms, n, settings)
 
 

@@ -61,6 +61,25 @@ def test_quotation_counts_less():
     assert quoted[0] == 0.0 and quoted[1] == 4.0
 
 
+@pytest.mark.parametrize("text, wanted", [
+    ("you don’t know, you moron, it’s over", False),
+    ("l’homme est un moron, c’est clair", False),
+    ("don‘t, moron, it‘s over", False),
+    ("the word ‘moron’ is old", True),
+    ("the old “moron” of the tests", True),
+    ("das alte „moron“ der Probe", True),
+    ("das alte »moron« der Probe", True),
+    ("le vieux «moron» des tests", True),
+    ("he “sings” moron “sings”", False),
+    ("the dogs’ moron of the cats’ house", False),
+    ("she’s sure ‘it’s moron’ was meant", True),
+    ("a 5\" moron of “this” kind", False),
+])
+def test_apostrophes_are_no_quotation(text, wanted):
+    matcher, weight = X.Matcher(["moron$"]), {("moron$", 0): 4.0}
+    assert [m[3] for m in X.evidence(matcher, weight, text, 5)[2]] == [wanted]
+
+
 @pytest.fixture(scope="module")
 def model():
     weights = {("idiot$", 0): 6.0, ("idiot$", 1): 4.0}
