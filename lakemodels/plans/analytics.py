@@ -156,6 +156,23 @@ def isolation_forest(spark, folder):
     return isoforest.isolation_forest(orders, "order_id", ["amount", "hour_of_day", "day_of_week"])
 
 
+@plan("""
+    SELECT o_orderkey AS order_id, true AS score_in_range, true AS flag_follows_score, true AS flagged_share_holds FROM orders
+""")
+def isolation_forest_invariants(spark, folder):
+    """What holds for any forest: scores lie within a unit of their offset, negative ones are flagged, and no more than the share asked for."""
+    scored = isolation_forest(spark, folder)
+    flagged = F.count_if("is_anomaly") <= F.ceil(0.005 * F.count(F.lit(1)))
+    # One row; offsets lie in [-1, 0), as raw scores do.
+    held = scored.agg(flagged.alias("flagged_share_holds"))
+    return scored.crossJoin(F.broadcast(held)).select(
+        "order_id",
+        (F.abs("anomaly_score") < 1).alias("score_in_range"),
+        (F.col("is_anomaly") == (F.col("anomaly_score") < 0)).alias("flag_follows_score"),
+        "flagged_share_holds",
+    )
+
+
 @plan("""
     SELECT o_orderkey, o_totalprice, o_totalprice < (SELECT quantile_cont(o_totalprice, 0.005) FROM orders) AS is_anomaly
     FROM orders

@@ -14,7 +14,7 @@ from lakemodels.operators.relational import keep, project
 from lakemodels.plans.registry import path, plan, read
 from lakemodels.sinks.materialize import stored_rows, write_incremental, write_table, write_view
 from lakemodels.sources.workspace import fresh_dir, scratch_schema
-from lakemodels.streaming.incremental import stream_incremental
+from lakemodels.streaming.incremental import stream_incremental, streamed_rows
 
 _COLUMNS = "o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status, o_totalprice AS amount"
 _LOADED = "o_orderdate < TIMESTAMP '1999-01-01 00:00:00'"
@@ -388,4 +388,4 @@ def stream_append(spark, folder):
     name = f"{scratch_schema(spark, 'stream')}.orders"
     stream = _order_stream(spark, folder).where(_CHANGED).selectExpr(*_REPRICED.split(", "))
     stream_incremental(stream, name, fresh_dir(spark, "stream"), "append").awaitTermination()
-    return spark.table(name).drop("stream_batch")
+    return streamed_rows(spark, name)

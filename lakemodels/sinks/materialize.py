@@ -311,7 +311,7 @@ def _apply_batch(batch: DataFrame, target: DataFrame, change: _Change) -> None:
                 everything.where(F.expr(change.predicate)).select(*map(col, stored_by))
             )
         result = applied(without_bucket(_touched(everything, places, stored_by)))
-        _rewrite_partitions(change.stored.added_to(result) if change.stored else result, name)
+        rewrite_partitions(change.stored.added_to(result) if change.stored else result, name)
         _set_properties(spark, name, change.properties)
 
 
@@ -611,7 +611,7 @@ def _touched(target: DataFrame, places: DataFrame, partition_by: Sequence[str])
     return hit
 
 
-def _rewrite_partitions(df: DataFrame, name: str) -> None:
+def rewrite_partitions(df: DataFrame, name: str) -> None:
     """Replace exactly the partitions the frame has rows for; the job's commit swaps them in."""
     spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
@@ -623,6 +623,24 @@ def _rewrite_partitions(df: DataFrame, name: str) -> None:
         spark.conf.set(setting, before)
 
 
+def partition_values(spark: SparkSession, name: str, column: str) -> list[str]:
+    """The values of a table's only partition column; none if it is partitioned otherwise."""
+    if _partitions(spark, name) != [column]:
+        return []
+    return [row.partition.split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {_sql(name)}").collect()]
+
+
+def drop_partitions(spark: SparkSession, name: str, column: str, values: Sequence[str]) -> None:
+    """Take partitions with plain values out of the catalog, then delete their folders if this library wrote them."""
+    if not values:
+        return
+    places = ", ".join(f"PARTITION ({table_name(column)} = '{value}')" for value in values)
+    spark.sql(f"ALTER TABLE {_sql(name)} DROP IF EXISTS {places}")
+    if _properties(spark, name).get(_OWNED) == "true":
+        for value in values:
+            remove_dir(spark, f"{_location(spark, name)}/{column}={value}")
+
+
 def _set_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
     if properties:
         quoted = lambda text: text.replace("\\", "\\\\").replace("'", "\\'")

@@ -79,3 +79,49 @@ def test_a_batch_delivered_twice_counts_once(spark, schema, strategy, key, parti
     if key:
         assert "1" in table_properties(spark, name).values()
     assert incremental._applied(spark, f"{schema}.none", "x") == -1
+
+
+def test_many_appended_batches_leave_few_files(spark, schema, monkeypatch):
+    """50 batches at a fan-in of 4: put together by 4 and by 16, never lost or doubled, also if one is delivered again."""
+    import glob
+
+    monkeypatch.setattr(incremental, "FAN_IN", 4)
+    name = f"{schema}.t"
+    options = {"name": name, "batch_column": "stream_batch", "options": {}}
+    deliver = lambda i: incremental._append_batch(
+        spark.createDataFrame([(i, "a"), (None, "n")], SCHEMA).coalesce(1), span=incremental.Span("ab", 0, i, i), **options
+    )
+    for i in range(50):
+        deliver(i)
+        if i % 7 == 3:
+            deliver(i)
+    got = rows(incremental.streamed_rows(spark, name))
+    assert got == rows(spark.createDataFrame([(i, "a") for i in range(50)] + [(None, "n")] * 50, SCHEMA))
+    assert incremental.streamed_rows(spark, name).columns == ["k", "v"]
+    folder = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first().data_type.removeprefix("file:")
+    assert len(glob.glob(f"{folder}/*/*.parquet")) <= 3 * 4
+    assert rows(spark.table(name).select("k", "v")) == got
+
+
+def test_copied_partitions_that_stay_are_not_read_twice(spark, schema, monkeypatch):
+    """A failure after the copy and before the drop: readers see every row once, the next batch cleans up."""
+    monkeypatch.setattr(incremental, "FAN_IN", 2)
+    name = f"{schema}.t"
+    deliver = lambda i: incremental._append_batch(
+        spark.createDataFrame([(i, "a")], SCHEMA), name, "stream_batch", incremental.Span("ab", 0, i, i), {}
+    )
+    deliver(0)
+    with monkeypatch.context() as broken:
+        def fail(spark, name, column, values):
+            if values:
+                raise OSError("gone")
+
+        broken.setattr(incremental, "drop_partitions", fail)
+        with pytest.raises(OSError):
+            deliver(1)
+    assert spark.table(name).count() == 4
+    assert rows(incremental.streamed_rows(spark, name)) == [(0, "a"), (1, "a")]
+    deliver(1)
+    deliver(2)
+    assert rows(incremental.streamed_rows(spark, name)) == [(0, "a"), (1, "a"), (2, "a")]
+    assert spark.table(name).count() == 3
