@@ -4,15 +4,18 @@ A page is read into a tree: tags that HTML lets authors leave open are closed wh
 elements (scripts, styles) and comments are not part of it. Parts whose element, role, class or id
 says that they are menus, headers, footers, sidebars, notices, adverts, forms or reader comments are
 taken out; a form, class or id says so only of nodes that are not the frame of an article or of most of
-the text beside links, nor an article's header with its title. For every node left, with characters C, tags T, link characters LC and link tags LT below it,
+the text beside links, nor an article's header with its title. Some words are doubtful, as they also name what a
+text is about (``share`` in ``market-share``): beside a part of the name that is neither such a word nor one of layout,
+or on an element of running text, they count only where at least half of the text are links. For every node left, with characters C, tags T, link characters LC and link tags LT below it,
 
     density = C / T * log(C * T / (LC * LT)) to the base ln(C * LC / (C - LC) + C * LCb / Cb + e)
 
 (b: body; zeros count as one), so text with few tags is dense and links make it thin. The node whose
 children's densities have the largest sum is the core. The threshold is the least density on the
-path from body to it. An article around the core is the result; without one it is the core together
-with whatever beside that path is as dense as the threshold, or is a heading, paragraph, list or table
-that is not mostly links. Thin lists of links inside are left out.
+path from body to it. Where ``article`` or ``main`` elements are around the core, the outermost of them is the result
+as a whole (density has chosen it, the threshold decides nothing inside), and so are articles beside it that are as
+dense as the threshold. Without one the result is the core together with whatever beside that path is as dense as the
+threshold, or is a heading, paragraph, list or table that is not mostly links; thin lists of links in it are left out.
 
 Null and empty pages give an empty text. Pages are read one by one, so repeated rows get equal texts;
 null ids stay; other columns pass through, those with the names of result columns are replaced. Work is
@@ -61,10 +64,20 @@ WORDS = set(
 )
 # Words that also name the layout of a page, so that a frame around the whole page can bear them.
 LAYOUT = set("nav navbar navigation menu sidebar aside footer header masthead banner toolbar overlay widget skip".split())
+# Words that also name what a text is about, and words that only say how such a part is laid out.
+DOUBTFUL = set("share sharing social related recommended respond alert notice notices promotion subscription consent header menu skip".split())
+PLAIN = set(
+    "area bar block body box button buttons card cards container content frame group icon icons inner item items layout left link "
+    "links list main outer page panel post posts right row section site slot text title top bottom unit wrap wrapper".split()
+)
+RUNNING = set("p h1 h2 h3 h4 h5 h6 blockquote pre table figure li dt dd td".split())
 MODIFIERS = {"has", "with", "no", "without"}
 FREE = {"html", "body", "article", "main"}
-# Marks of nodes: to be taken out; unless it is a frame; unless it is a frame that holds the title or main.
-OUT, FRAME, PART = 1, 2, 3
+# Marks of nodes: taken out if mostly links; to be taken out; unless it is a frame; unless it is a frame that holds the
+# title or main.
+LINKS, OUT, FRAME, PART = 1, 2, 3, 4
+# Elements that can hold others of their name, though nothing in them is text of the page.
+NESTED = set("template svg math object".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -85,6 +98,8 @@ class Page:
         self.marks = [0]
         # Events in page order: (node, text) for text, (node, None) for a line break or an edge of a block.
         self.events: list[tuple[int, str | None]] = []
+        # Articles whose class or id says that they are no part of the text.
+        self.side: set[int] = set()
         self.open = [0]
         self.at: dict[str, list[int]] = {"html": [0]}
         self._read(source)
@@ -106,8 +121,7 @@ class Page:
                 self._close(name)
             elif name in RAW:
                 if not found[3].endswith("/>"):
-                    closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
-                    at = closing.end() if closing else end
+                    at = _after(source, name, at)
             else:
                 self._start(name, found[3])
 
@@ -126,6 +140,8 @@ class Page:
         self.tags.append(name)
         self.parents.append(self.open[-1])
         self.marks.append(self._mark(name, attributes))
+        if name == "article" and self._mark("div", attributes):
+            self.side.add(node)
         if name in BLOCKS:
             self.events.append((node, None))
         if name not in VOID:
@@ -143,12 +159,7 @@ class Page:
         for key, *values in _ATTRIBUTE.findall(attributes):
             value, key = "".join(values), key.lower()
             if key in ("class", "id"):
-                before = ""
-                for part in _SPLIT.split(value):
-                    part = part.lower()
-                    if part in WORDS and before not in MODIFIERS:
-                        mark = max(mark, FRAME if part in LAYOUT else PART)
-                    before = part
+                mark = max(mark, self._named(name, value))
             elif key == "role":
                 if value.lower() == "form":
                     mark = max(mark, FRAME)
@@ -160,11 +171,37 @@ class Page:
                 return OUT
         return mark
 
+    def _named(self, name: str, value: str) -> int:
+        """The mark that the names in a class or id give."""
+        mark, within = 0, bool(self.at.get("article") or self.at.get("main"))
+        for token in value.split():
+            parts, before = [part.lower() for part in _SPLIT.split(token) if part], ""
+            doubt = name in RUNNING or not all(part in WORDS or part in PLAIN or part.isdigit() for part in parts)
+            for part in parts:
+                if part in WORDS and before not in MODIFIERS:
+                    if doubt and part in DOUBTFUL and (within or part not in LAYOUT):
+                        mark = max(mark, LINKS)
+                    else:
+                        mark = max(mark, FRAME if part in LAYOUT else PART)
+                before = part
+        return mark
+
     def _noise(self, link: list[bool]) -> list[bool]:
         """Nodes that are taken out: marked ones and all below, but not the frames of the page's text."""
         n, tags, parents, marks = len(self.tags), self.tags, self.parents, self.marks
-        noise = [m > 0 for m in marks]
-        if FRAME in marks or PART in marks:
+        noise = [m > LINKS for m in marks]
+        if LINKS in marks:
+            texts, linked = [0] * n, [0] * n
+            for node, text in self.events:
+                if text:
+                    size = len("".join(text.split()))
+                    texts[node] += size
+                    linked[node] += size * link[node]
+            for i in range(n - 1, 0, -1):
+                texts[parents[i]] += texts[i]
+                linked[parents[i]] += linked[i]
+                noise[i] = noise[i] or (marks[i] == LINKS and 2 * linked[i] >= texts[i])
+        if FRAME in marks or PART in marks or self.side:
             out, held, titles, articles = [m == OUT for m in marks], [0] * n, [0] * n, [0] * n
             within = [t in ("article", "main") for t in tags]
             for i in range(1, n):
@@ -185,6 +222,10 @@ class Page:
                 frame = articles[i] > 0 or 2 * held[i] > held[0]
                 if marks[i] > OUT and (title or (frame and (marks[i] == FRAME or titles[i] > 0))):
                     noise[i] = False
+            # Of several articles those with such a name go, unless they hold the title or most of the text.
+            if any(tags[i] in ("article", "main") and i not in self.side for i in range(n)):
+                for i in self.side:
+                    noise[i] = noise[i] or not (titles[i] or 2 * held[i] > held[0])
         for i in range(1, n):
             noise[i] = noise[i] or noise[parents[i]]
         return noise
@@ -260,7 +301,13 @@ class Page:
             path.append(parents[path[-1]])
         threshold = min(density[i] for i in path)
         kept = self._kept(path, density, threshold, chars, link_chars, noise)
-        return self._blocks(kept, density, threshold, chars, link_chars, links, noise)
+        thin = [False] * n
+        if not any(tags[i] in ("article", "main") for i in path):
+            for i in range(1, n):
+                thin[i] = thin[parents[i]] or (
+                    tags[i] in LISTS and links[i] > 1 and 5 * link_chars[i] >= 4 * chars[i] and density[i] < threshold
+                )
+        return self._blocks(kept, thin, noise)
 
     def _kept(self, path, density, threshold, chars, link_chars, noise) -> list[bool]:
         """Nodes whose subtree belongs to the result, before thin lists of links are left out."""
@@ -270,6 +317,9 @@ class Page:
         on_path = set(path)
         if around:
             kept[around[-1]] = True
+            for i in range(1, n):
+                beside = tags[i] == "article" and parents[i] == parents[around[-1]] and i not in self.side
+                kept[i] = kept[i] or (beside and not noise[i] and density[i] >= threshold)
         for i in range(1, n):
             p = parents[i]
             if kept[p] and not noise[i]:
@@ -288,13 +338,7 @@ class Page:
                     kept[i] = True
         return kept
 
-    def _blocks(self, kept, density, threshold, chars, link_chars, links, noise) -> str:
-        tags, parents, n = self.tags, self.parents, len(self.tags)
-        thin = [False] * n
-        for i in range(1, n):
-            thin[i] = thin[parents[i]] or (
-                tags[i] in LISTS and links[i] > 1 and 5 * link_chars[i] >= 4 * chars[i] and density[i] < threshold
-            )
+    def _blocks(self, kept, thin, noise) -> str:
         blocks: list[str] = []
         parts: list[str] = []
         for node, text in [*self.events, (0, None)]:
@@ -308,6 +352,20 @@ class Page:
         return "\n\n".join(blocks)
 
 
+def _after(source: str, name: str, at: int) -> int:
+    """The place after the end tag of an element whose content is not read."""
+    edge, depth = re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE), 1
+    while found := edge.search(source, at):
+        at = found.end()
+        if found[1]:
+            depth -= 1
+        elif name in NESTED and not found[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return at
+    return len(source)
+
+
 def _density(chars: int, below: int, link_chars: int, links: int, share: float) -> float:
     if not chars:
         return 0.0
