@@ -7,7 +7,7 @@ kind; matches that are too short are dropped after they were consumed.
 (inside). Emissions are sums of weights for the token's own form (kinds of characters, length,
 entropy, changes between kinds), its neighbours' classes and the file (share of tokens that are
 not plain words); transitions are a 3 x 3 table. It is trained on pattern matches in a bounded
-sample of rows (``Settings.sample_rows``), so it learns what secrets and their surroundings look
+sample (``Settings.sample_rows``, ``Settings.sample_parts``), so it learns what secrets and their surroundings look
 like, and tags secrets without a known key word. Viterbi finds the best labelling: a token whose
 O leads by more than any two transitions can give back is O in the best path, so the chain is cut
 at such tokens and only the runs between them are decoded, with the same result.
@@ -21,6 +21,7 @@ through; those with the names of result columns are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from dataclasses import dataclass
@@ -68,6 +69,7 @@ class Settings:
     """Bounds of the training sample and steps of the fit."""
 
     sample_rows: int = 10_000
+    sample_parts: int = 8_192
     steps: int = 120
     rate: float = 0.15
     penalty: float = 0.02
@@ -257,7 +259,10 @@ class Field:
 
 
 def fit(documents: DataFrame, settings: Settings = Settings()) -> Field:
-    """Train on the pattern matches in at most ``sample_rows`` rows of (doc_id, text)."""
+    """Train on at most ``sample_parts`` parts of 64 tokens, out of at most ``sample_rows`` ids of (doc_id, text).
+
+    Both are chosen by hashes, so the driver holds the same bounded parts however long the texts are.
+    """
     order = F.xxhash64("doc_id")
     # sample_rows ids by parameter: this bounds the broadcast.
     chosen = documents.select("doc_id").where("doc_id is not null").distinct().orderBy(order, "doc_id").limit(settings.sample_rows)
@@ -267,23 +272,28 @@ def fit(documents: DataFrame, settings: Settings = Settings()) -> Field:
         known = Forms()
 
         def work(part):
-            out: dict[str, list] = {"features": [], "labels": []}
+            out: dict[str, list] = {"digest": [], "features": [], "labels": []}
             for number, text in zip(part["doc_id"], part["text"], strict=True):
-                for numbers, labels in _training_parts(known, number, text):
+                for at, numbers, labels in _training_parts(known, number, text):
+                    out["digest"].append(_digest(f"{number}:{at}"))
                     out["features"].append(numbers.ravel().tolist())
                     out["labels"].append(labels.tolist())
             return out
 
         return work
 
-    # A few parts of 64 tokens per sampled row.
-    rows = map_rows(texts, "features array<int>, labels array<int>", start).collect()
+    parts = map_rows(texts, "digest long, features array<int>, labels array<int>", start)
+    rows = parts.orderBy("digest", "labels", "features").limit(settings.sample_parts).collect()
     rows = sorted((r["labels"], r["features"]) for r in rows)
     return train(rows, settings)
 
 
-def _training_parts(known: Forms, number: int, text: str):
-    """Parts of a text with a pattern match or a digit, and one plain part of every sixteenth text."""
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=7).digest(), "big")
+
+
+def _training_parts(known: Forms, number: object, text: str):
+    """(place, features, labels) of parts of a text with a pattern match or a digit, and one plain part of every sixteenth text."""
     tokens, spans = _tokens(text)
     if not tokens:
         return
@@ -300,8 +310,8 @@ def _training_parts(known: Forms, number: int, text: str):
     for at in range(0, len(tokens), PART):
         part = slice(at, at + PART)
         digits = not known.plain[ids[part]].all() and any(_DIGIT.search(t) for t in tokens[part])
-        if labels[part].any() or digits or (at == 0 and number % 16 == 0):
-            yield numbers[part], labels[part]
+        if labels[part].any() or digits or (at == 0 and _digest(str(number)) % 16 == 0):
+            yield at, numbers[part], labels[part]
 
 
 def _tokens(text: str) -> tuple[list[str], list[tuple[int, int]]]:

@@ -45,7 +45,7 @@ def field():
         secret = "".join(draw.choice("abcdef0123456789") for _ in range(draw.randrange(18, 40)))
         if k % 2:
             words[10:10] = [draw.choice(["password=", "token = "]) + secret]
-        rows += [(labels.tolist(), numbers.ravel().tolist()) for numbers, labels in S._training_parts(known, k, " ".join(words))]
+        rows += [(labels.tolist(), numbers.ravel().tolist()) for _, numbers, labels in S._training_parts(known, k, " ".join(words))]
     return S.train(sorted(rows), S.Settings(steps=80))
 
 
@@ -94,3 +94,13 @@ def test_rows_that_are_odd(frame, field):
     hidden = S.redact(df.select("doc_id", "text"), field).where("doc_id = 3").first().text
     assert hidden == "[SECRET]"
     assert S.fit(frame([])).decode(np.array([0]), np.array([[5.0, 0.0, 0.0]]), 1) == []
+
+
+def test_the_sample_is_bounded_by_parts(frame, monkeypatch):
+    """Very long numeric texts and ids that are no numbers."""
+    kept = []
+    monkeypatch.setattr(S, "train", lambda rows, settings: kept.append(rows))
+    df = frame([(k, f"token=abcdef99{k} " + "12 34 " * 20_000) for k in range(4)]).selectExpr("concat('d', doc_id) AS doc_id", "text")
+    for partitions in (1, 3):
+        S.fit(df.repartition(partitions), S.Settings(sample_parts=50))
+    assert len(kept[0]) == 50 and kept[0] == kept[1]
