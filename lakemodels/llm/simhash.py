@@ -11,7 +11,8 @@ document follows it in its task. Only the first and last row of each range meet
 
 *Search.* A fingerprint is cut into radius + 1 blocks. Two within the radius agree in one block at
 least, so one table per block, that block in front as key, finds every pair; full distances decide.
-Equal fingerprints are one entry, and only the asked fingerprints probe the tables.
+Equal fingerprints are one entry, and only the asked fingerprints probe the tables. Of the tables only the
+entries go to the join whose block a Bloom filter of the asked blocks holds; it has a fixed size and loses none.
 
 Null texts are empty. In the order of documents null ids come last; rows with one doc_id follow
 each other by a hash of their text. A document without a next one is its own next. Other columns are ignored.
@@ -24,13 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakemodels.llm.common import SLICE_ROWS, HashedWords, ascii_words, freeze, map_rows, mixed, window_hashes
+from lakemodels.llm.common import SLICE_ROWS, HashedWords, ascii_words, bloom_of, freeze, in_bloom, map_rows, mixed, window_hashes
 from lakemodels.llm.plans import PLANS, read
 from lakemodels.sources.workspace import ship_package
 
@@ -39,6 +41,8 @@ BITS = 256
 RADIUS = 8
 _ROUNDS = np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
 _CHUNK = 4096
+# Bits of the filter of asked blocks (2 MB).
+ASKED_BITS = 1 << 24
 
 
 class Fingerprints:
@@ -137,9 +141,8 @@ def with_next(documents: DataFrame) -> DataFrame:
         .join(heads.withColumnRenamed("part", "next"), "next")
         .select("doc_id", "text", "fingerprint", "next_text", "next_print")
     )
-    return passed.where("kind = 0").select(*RESULT_NAMES).unionByName(
-        map_rows(ends, RESULT, _ends)
-    )
+    # One row per range: the finished rows are fixed already, so nothing has to be kept twice.
+    return passed.where("kind = 0").select(*RESULT_NAMES).unionByName(freeze(map_rows(ends, RESULT, _ends)))
 
 
 def _ends():
@@ -155,6 +158,23 @@ def _ends():
     return work
 
 
+def _kept_keys(tables: DataFrame, bloom: np.ndarray) -> DataFrame:
+    """(fingerprint, keys) with only those keys that the filter may hold."""
+    ship_package(tables.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("keys")
+            inside = in_bloom(bloom, lists.flatten().to_numpy())
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())[inside]
+            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
+            kept = pa.ListArray.from_arrays(pa.array(ends), lists.flatten().filter(pa.array(inside)))
+            some = np.diff(ends) > 0
+            yield pa.RecordBatch.from_arrays([batch.column("fingerprint"), kept], ["fingerprint", "keys"]).filter(pa.array(some))
+
+    return tables.mapInArrow(run, "fingerprint string, keys array<long>")
+
+
 def within(asked: DataFrame, fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs (asked, found, distance) of fingerprints (hexadecimal) at most ``radius`` bits apart.
 
@@ -163,22 +183,27 @@ def within(asked: DataFrame, fingerprints: DataFrame, radius: int = RADIUS) -> D
     width = BITS // 4 // (radius + 1)
     if width < 1:
         raise ValueError(f"A radius of {radius} leaves no block of whole digits")
-    blocks = F.explode(
-        F.transform(F.sequence(F.lit(0), F.lit(radius)), lambda i: F.struct(i.alias("block"), F.substr("fingerprint", i * width + 1, F.lit(width)).alias("key")))
-    )
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.lit(radius)), lambda i: F.xxhash64(i, F.substr("fingerprint", i * width + 1, F.lit(width)))
+    )
 
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        keyed = df.select("fingerprint").where("fingerprint is not null").distinct().select("fingerprint", blocks.alias("at"))
+    def tables(df: DataFrame) -> DataFrame:
+        return df.select("fingerprint").where("fingerprint is not null").distinct().select("fingerprint", blocks.alias("keys"))
+
+    def entries(df: DataFrame, name: str) -> DataFrame:
         words = [F.conv(F.substr("fingerprint", F.lit(i * 16 + 1), F.lit(16)), 16, -10).cast("long") for i in range(BITS // 64)]
-        return keyed.select("at.block", "at.key", F.array(*words).alias(name))
+        return df.select(F.explode("keys").alias("key"), F.array(*words).alias(name))
 
+    probes = tables(asked)
+    bloom = bloom_of(probes.select(F.explode("keys").alias("key")), "key", ASKED_BITS)
+    held = _kept_keys(tables(fingerprints), bloom)
     distance = F.aggregate(
         F.zip_with("asked", "found", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, d: s + d
     )
     digits = lambda name: F.lower(F.array_join(F.transform(name, lambda w: F.lpad(F.hex(w), 16, "0")), ""))
     return (
-        tables(fingerprints, "found")
-        .join(tables(asked, "asked"), ["block", "key"])
+        entries(held, "found")
+        .join(entries(probes, "asked"), "key")
         .withColumn("distance", distance)
         .where(F.col("distance") <= radius)
         .select("asked", "found", "distance")
@@ -192,14 +217,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``n_within`` counts the documents, itself included, whose fingerprint is within the radius.
     """
-    rows = freeze(with_next(read(spark, sf_dir, "documents")))
-    asked = rows.where("doc_id % 50 = 0")
+    rows = with_next(read(spark, sf_dir, "documents"))
+    is_asked = F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))
+    asked = rows.where(is_asked)
     counts = rows.groupBy("fingerprint").agg(F.count("*").alias("n"))
     near = within(asked, rows).join(counts.withColumnRenamed("fingerprint", "found"), "found")
     near = near.groupBy(F.col("asked").alias("fingerprint")).agg(F.sum("n").alias("n_within"))
-    return rows.join(near, "fingerprint", "left").select(
-        *RESULT_NAMES, F.when(F.col("doc_id") % 50 == 0, F.col("n_within")).alias("n_within")
-    )
+    # Only the asked rows meet their numbers; the others go by.
+    others = rows.where(~is_asked).select(*RESULT_NAMES, F.lit(None).cast("long").alias("n_within"))
+    return asked.join(near, "fingerprint", "left").select(*RESULT_NAMES, "n_within").unionByName(others)
 
 
 PLANS["op9_simhash"] = op9_simhash

@@ -78,3 +78,23 @@ def test_rows_that_are_odd(frame):
     assert S.with_next(frame([])).count() == 0
     long = S.Fingerprints()
     assert long.of("word " * 50_000) == long.of("word " * 50_000) and long.of("") == bytes(S.BITS // 8)
+
+
+def test_search_sends_only_asked_blocks_to_the_join(spark):
+    draw = random.Random(9)
+    texts = [f"{draw.getrandbits(S.BITS):064x}" for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "fingerprint string")
+    found = S.within(df.where(df.fingerprint.isin(texts[:3])), df)
+    assert sorted(r.found for r in found.collect()) == sorted(texts[:3])
+    values = [[draw.getrandbits(63) - 2**62 for _ in range(3)] for _ in texts]
+    keys = spark.createDataFrame(list(zip(texts, values)), "fingerprint string, keys array<long>")
+    bloom = S.bloom_of(spark.createDataFrame([(values[7][1],), (values[9][0],)], "key long"), "key", S.ASKED_BITS)
+    kept = {(r.fingerprint, tuple(r["keys"])) for r in S._kept_keys(keys, bloom).collect()}
+    assert kept == {(texts[7], (values[7][1],)), (texts[9], (values[9][0],))}
+
+
+def test_query_keeps_its_rows_once(spark):
+    """The finished rows are checkpointed by with_next alone, and rows that ask nothing meet no join."""
+    plan = S.op9_simhash(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    union = plan.splitlines()[0]
+    assert "Union" in union
