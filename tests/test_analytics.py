@@ -310,3 +310,27 @@ def test_weights_shuffle_texts_and_terms_of_parts_only(spark):
         norm = math.sqrt(sum((k * idf[t]) ** 2 for t, k in terms.items()))
         wanted |= {(text, t): (k, {"blue": 2}.get(t, 1), round(k * idf[t] / norm, 6)) for t, k in terms.items()}
     assert got == wanted
+
+
+def test_texts_meet_without_a_shuffle(spark, monkeypatch):
+    """Slices are sent to the tasks; the vectors lie on disk once, however many slices there are."""
+    monkeypatch.setattr(tfidf, "_TEXTS_PER_SLICE", 40)
+    monkeypatch.setattr(tfidf, "_TEXTS_PER_BLOCK", 16)
+    stored, plain = [], tfidf._meeting
+    monkeypatch.setattr(tfidf, "_meeting", lambda *a: stored.append(a[1]) or plain(*a))
+    rng = np.random.default_rng(5)
+    matrix = np.abs(rng.normal(size=(150, 30))) * (rng.random((150, 30)) < 0.4)
+    matrix /= np.linalg.norm(matrix, axis=1)[:, None]
+    rows = []
+    for i, row in enumerate(matrix):
+        entries = np.array([(int(t), row[t]) for t in np.flatnonzero(row)], tfidf._ENTRY)
+        rows.append((i, bytearray(entries.tobytes()), None))
+    met = tfidf._met_by_block(spark.createDataFrame(rows, "leader bigint, vector binary, threshold double"), 3)
+    pairs = {(r.a, r.b): r.score for r in met.collect()}
+    assert len(stored) == 4 and "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+    score = matrix @ matrix.T
+    np.fill_diagonal(score, -1)
+    for i in range(150):
+        for j in np.argsort(-score[i])[:3]:
+            assert abs((pairs.get((i, j)) or pairs.get((j, i))) - score[i, j]) < 1e-9
+    assert all(a != b and (b, a) not in pairs for a, b in pairs)
