@@ -10,7 +10,8 @@ Everything outside of stretches is O by definition, so decoding them alone is ex
 shapes of the token and of two neighbours on each side, pairs of them, the number of digits of its group and whether these
 pass Luhn, and the class of the key word before the stretch. Weights and transitions are fitted by maximum likelihood with a
 ridge on a small labelled table (:func:`labelled_table`, or any other of its columns; at most ``Settings.max_rows`` rows).
-Stretches are decoded by Viterbi in numpy batches of like length.
+Stretches are decoded by Viterbi in numpy batches of like length; a long one (a text of numbers is one stretch) alone, token by
+token, so that a task keeps some 20 bytes of each of its tokens.
 
 Field spans keep the checks of their kind, and those that touch a pattern span are not reported again. Pattern spans always stay.
 
@@ -23,10 +24,12 @@ from __future__ import annotations
 
 import random
 import re
+from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate, islice
+from itertools import accumulate, chain, islice, pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +52,8 @@ _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 # Digits start where their run does: if the run fails, so does every later start in it.
 _WHOLE_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+# The matches of CARD, without a place to go back to for every digit.
+_WHOLE_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _NOT_DIGITS = re.compile(r"[^0-9]+")
 
 
@@ -62,8 +67,16 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
 
 
+def _number(part: str) -> int:
+    """Its value; the field may also take letters and signs for a part of an address, which are above any value."""
+    try:
+        return int(part or 0)
+    except ValueError:
+        return 256
+
+
 def _is_ip(text: str) -> bool:
-    return all(len(part) <= 3 and int(part or 0) <= 255 for part in (p.lstrip("0") for p in text.split(".")))
+    return all(len(part) <= 3 and _number(part) <= 255 for part in (p.lstrip("0") for p in text.split(".")))
 
 
 def _is_card(text: str) -> bool:
@@ -92,7 +105,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the pattern matches that pass their checks, by kind."""
     spans = [(a, b, "email") for a, b in _emails(text)]
-    for kind, pattern, check in (("ip", _WHOLE_IP, _is_ip), ("card", CARD, _is_card), ("phone", PHONE, _is_phone)):
+    for kind, pattern, check in (("ip", _WHOLE_IP, _is_ip), ("card", _WHOLE_CARD, _is_card), ("phone", PHONE, _is_phone)):
         spans += [(m.start(), m.end(), kind) for m in pattern.finditer(text) if check(m[0])]
     return spans
 
@@ -160,23 +173,18 @@ def _shape(token: str) -> str:
     return first if first.isascii() else "?"
 
 
-def _groups(tokens: list[str]) -> list[str]:
-    """For each token the number of digits of its group (digits with signs or one gap between them) and whether they pass Luhn."""
-    out, at = [""] * len(tokens), 0
-    while at < len(tokens):
-        end, digits = at, []
-        while end < len(tokens) and (tokens[end][0] in "0123456789+-.()/" or (tokens[end] == " " and digits)):
-            digits.append(digits_of(tokens[end]))
-            end += 1
-        if end == at:
-            at += 1
+# Digits with signs or one gap between them; tokens that begin with a digit of another script are passed over.
+_GROUP = re.compile(r"(?![0-9])\d++|([0-9+\-.()/](?:[0-9+\-.()/]|\x20(?!\s))*+)")
+
+
+def _groups(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """(start, end, name) of the groups of a stretch: the name is the number of digits and whether they pass Luhn."""
+    for m in _GROUP.finditer(text, start, end):
+        if m[1] is None:
             continue
-        joined = "".join(digits)
+        joined = digits_of(m[1])
         n = len(joined)
-        name = f"{min(n, 20)}{'L' if 12 <= n <= 19 and luhn(joined) else ''}"
-        out[at:end] = [name] * (end - at)
-        at = end
-    return out
+        yield m.start(), m.end(), f"{min(n, 20)}{'L' if 12 <= n <= 19 and luhn(joined) else ''}"
 
 
 def _announced(text: str, start: int) -> str:
@@ -188,24 +196,37 @@ def _announced(text: str, start: int) -> str:
     return ""
 
 
+def token_bounds(text: str, start: int, end: int) -> array:
+    """The starts of the tokens of a stretch, and its end; a token ends where the next one starts."""
+    bounds = array("l", (m.start() for m in _TOKEN.finditer(text, start, end)))
+    bounds.append(end)
+    return bounds
+
+
 def chain_of(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], Iterator[list[tuple]]]:
     """(places of the tokens, features of each) of a stretch; the features are made one token at a time."""
-    places = [m.span() for m in _TOKEN.finditer(text, start, end)]
-    return places, _features(text, start, places)
-
-
-def _features(text: str, start: int, places: list[tuple[int, int]]) -> Iterator[list[tuple]]:
-    tokens = [text[a:b] for a, b in places]
-    shapes = ["<", "<", *map(_shape, tokens), ">", ">"]
-    groups = _groups(tokens)
-    before = _announced(text, start)
-    for i, token in enumerate(tokens):
-        back2, back, own, ahead, ahead2 = shapes[i : i + 5]
-        key = _ANNOUNCED.get(token.lower(), "") if own[0] in "aA" else ""
+    bounds = token_bounds(text, start, end)
+    return list(pairwise(bounds)), _features(text, bounds)
+
+
+def _features(text: str, bounds: array) -> Iterator[list[tuple]]:
+    shapes = chain("<<", (_shape(text[a:b]) for a, b in pairwise(bounds)), ">>")
+    around = deque(islice(shapes, 4), 5)
+    groups = _groups(text, bounds[0], bounds[-1])
+    nothing = (bounds[-1], bounds[-1], "")
+    group = next(groups, nothing)
+    before = _announced(text, bounds[0])
+    for a, b in pairwise(bounds):
+        around.append(next(shapes))
+        back2, back, own, ahead, ahead2 = around
+        while group is not nothing and group[1] <= a:
+            group = next(groups, nothing)
+        name = group[2] if group[0] <= a else ""
+        key = _ANNOUNCED.get(text[a:b].lower(), "") if own[0] in "aA" else ""
         yield [
             ("own", own), ("back", back), ("ahead", ahead), ("back2", back2), ("ahead2", ahead2), ("pair", back, own),
-            ("next", own, ahead), ("three", back, own, ahead), ("wide", back2, back, ahead, ahead2), ("group", groups[i]),
-            ("said", before, groups[i]), ("key", key), ("said own", before, own),
+            ("next", own, ahead), ("three", back, own, ahead), ("wide", back2, back, ahead, ahead2), ("group", name),
+            ("said", before, name), ("key", key), ("said own", before, own),
         ]
 
 
@@ -221,13 +242,38 @@ class Field:
     weights: np.ndarray
     moves: np.ndarray
 
-    def scores(self, rows: Iterator[list[tuple]], at_once: int = 4_096) -> np.ndarray:
+    def scores(self, rows: Iterator[list[tuple]]) -> np.ndarray:
         """Sum of the weights of the known features of each token."""
-        unknown, out = len(self.weights) - 1, [np.zeros((0, N))]
+        return np.concatenate([np.zeros((0, N)), *self._blocks(rows)])
+
+    def _blocks(self, rows: Iterator[list[tuple]], at_once: int = 4_096) -> Iterator[np.ndarray]:
+        unknown = len(self.weights) - 1
         while part := list(islice(rows, at_once)):
             at = np.array([[self.numbers.get(f, unknown) for f in row] for row in part], np.int64)
-            out.append(self.weights[at].sum(axis=1))
-        return np.concatenate(out)
+            yield self.weights[at].sum(axis=1)
+
+    def decode_long(self, rows: Iterator[list[tuple]]) -> bytes:
+        """Best labels of one chain of features, of which only the way back from each token is kept."""
+        ways_back, best = [], None
+        for scores in self._blocks(rows):
+            back = np.zeros(scores.shape, np.int8)
+            for t, own in enumerate(scores):
+                if best is None:
+                    best = own + self.moves[0]
+                    continue
+                ways = best[:, None] + self.moves
+                back[t] = ways.argmax(axis=0)
+                best = ways.max(axis=0) + own
+            ways_back.append(back)
+        if best is None:
+            return b""
+        label, out = int((best + self.moves[:, 0]).argmax()), bytearray()
+        for back in reversed(ways_back):
+            for row in back[::-1].tolist():
+                out.append(label)
+                label = row[label]
+        out.reverse()
+        return bytes(out)
 
     def decode(self, chains: list[np.ndarray], cells: int = 1 << 16) -> list[list[int]]:
         """Best labels of every chain of scores; chains of like length are decoded together, ``cells`` tokens at a time."""
@@ -476,33 +522,53 @@ _CHECKS = {
 }
 
 
-def spans_of(texts: list[str | None], field: Field) -> list[list[tuple[int, int, str]]]:
-    """All spans of every text, by start, then kind: pattern matches, and field spans apart from them."""
+def spans_of(texts: list[str | None], field: Field, at_once: int = 1 << 15) -> list[list[tuple[int, int, str]]]:
+    """All spans of every text, by start, then kind: pattern matches, and field spans apart from them.
+
+    Some ``at_once`` tokens are decoded together; a stretch with more of them is decoded alone.
+    """
     found = [base_spans(text) if text else [] for text in texts]
-    chains, owners = [], []
-    for k, text in enumerate(texts):
-        for start, end in stretches(text) if text else ():
-            places, rows = chain_of(text, start, end)
-            chains.append(field.scores(rows))
-            owners.append((k, places))
     taken: list[tuple[list[int], list[int]] | None] = [None] * len(texts)
-    for (k, places), labels in zip(owners, field.decode(chains), strict=True):
+
+    def add(k: int, bounds: array, labels: Iterable[int]) -> None:
         if not any(labels):
-            continue
+            return
         if taken[k] is None:
             spans = sorted(found[k])
             taken[k] = [a for a, _, _ in spans], list(accumulate((b for _, b, _ in spans), max))
         for first, last, kind in _labelled(labels):
-            a, b = _trimmed(texts[k], places[first][0], places[last][1], kind)
+            a, b = _trimmed(texts[k], bounds[first], bounds[last + 1], kind)
             if a < b and _CHECKS[kind](texts[k][a:b]) and not _touches(taken[k], a, b):
                 found[k].append((a, b, f"crf_{kind}"))
+
+    def flush() -> None:
+        for (k, bounds), labels in zip(owners, field.decode(chains), strict=True):
+            add(k, bounds, labels)
+        chains.clear()
+        owners.clear()
+
+    chains, owners, waiting = [], [], 0
+    for k, text in enumerate(texts):
+        for start, end in stretches(text) if text else ():
+            bounds = token_bounds(text, start, end)
+            rows = _features(text, bounds)
+            if len(bounds) > at_once:
+                add(k, bounds, field.decode_long(rows))
+                continue
+            chains.append(field.scores(rows))
+            owners.append((k, bounds))
+            waiting += len(bounds)
+            if waiting > at_once:
+                flush()
+                waiting = 0
+    flush()
     return [sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]))) for spans in found]
 
 
-def _labelled(labels: list[int]) -> Iterator[tuple[int, int, str]]:
+def _labelled(labels: Iterable[int]) -> Iterator[tuple[int, int, str]]:
     """(first, last, kind) of every B with its I."""
     begin = None
-    for i, label in enumerate([*labels, 0]):
+    for i, label in enumerate(chain(labels, (0,))):
         if begin is not None and (label == 0 or label % 2):
             yield begin, i - 1, FOUND[(labels[begin] - 1) // 2]
             begin = None

@@ -157,3 +157,31 @@ def test_fit_on_any_table(spark, field):
     assert P.spans_of(["call (212) 555-0147 or a@b.de"], P.fit(empty))[0] == [(23, 29, "email")]
     some = P.fit(P.labelled_table(spark, 60), P.Settings(max_rows=40, steps=5))
     assert 0 < len(some.numbers) < len(field.numbers)
+
+
+def test_addresses_of_letters_and_signs_are_none(field):
+    """The field may mark any token; here it marks all of them as an address."""
+    weights = np.zeros((1, P.N))
+    weights[0, [P.LABELS.index("B-ip"), P.LABELS.index("I-ip")]] = 5.0, 9.0
+    moves = np.where(np.arange(P.N) == P.LABELS.index("I-ip"), 0.0, -1.0) + np.zeros((P.N, P.N))
+    moves[0, P.LABELS.index("I-ip")] = -1e4
+    all_ip = P.Field({}, weights, moves)
+    texts = ["a0.b.1.2", "v1.x.2.-", "1.2.3.-", "10.1²", "1.2.1².3", "see 0001.2.3.x4 there"]
+    assert P.spans_of(texts, all_ip) == [[] for _ in texts]
+    assert [kind for _, _, kind in P.spans_of(["a1:b2:c3"], all_ip)[0]] == ["crf_ip"]
+
+
+def test_long_numeric_texts_are_decoded_in_bounded_memory(field):
+    import tracemalloc
+
+    draw = random.Random(8)
+    number = lambda: str(draw.randrange(1000)) if draw.random() < 0.9 else "phone (212) 555-0147"
+    texts = [" ".join(number() for _ in range(n)) for n in (1, 40, 400, 4_000)]
+    for at_once in (1, 50, 3_000):
+        assert P.spans_of(texts, field, at_once) == P.spans_of(texts, field)
+    many = [" ".join(str(draw.randrange(1000)) for _ in range(5_000)) for _ in range(16)]
+    tracemalloc.start()
+    P.spans_of(many, field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20
