@@ -118,3 +118,64 @@ def test_passages_far_apart_are_kept_each(frame):
     texts = [a + " " + prose(74, 150) + " " + b, a + " " + prose(75, 150) + " " + b]
     got = P.passages(frame(list(enumerate(texts)))).collect()
     assert sorted((r.start, r.end) for r in got) == [(0, 60), (210, 270)]
+
+
+def test_changed_passages_of_frequent_seeds_are_found(frame):
+    """Each half stands in many documents, both with one word between them only in two, and that word differs."""
+    left, right = prose(67, 34), prose(68, 34)
+    texts = [prose(1000 + k, 20) + " " + (left if k % 2 else right) + " " + prose(1100 + k, 20) for k in range(24)]
+    middle = [prose(1200 + k, 15) + f" {left} other{k} {right} " + prose(1300 + k, 15) for k in range(2)]
+    got = P.passages(frame(list(enumerate(texts[:12] + middle + texts[12:])))).collect()
+    assert [(r.doc_id, r.start, r.end, r.other_id, r.matched) for r in got] == [(13, 15, 84, 12, 68)]
+
+
+def test_every_copy_of_a_frequent_passage_is_found(frame):
+    """A passage of many documents that stands twice in the smallest, in one between and in the largest; and long runs of one word."""
+    shared = prose(69, 60)
+    texts = [shared + " " + prose(1400 + k, 30) + (" " + shared if k in (0, 6, 11) else "") for k in range(12)]
+    got = P.passages(frame(list(enumerate(texts)))).collect()
+    places = {(r.doc_id, r.start) for r in got} | {(r.other_id, r.other_start) for r in got}
+    assert places >= {(k, 0) for k in range(12)} | {(k, 90) for k in (0, 6, 11)}
+    runs = [(k, prose(1500 + k, 10) + " and" * (3_000 if k in (1, 4) else 70) + " " + prose(1600 + k, 10)) for k in range(6)]
+    got = P.passages(frame(runs)).collect()
+    for k, text in runs:
+        held = {w for r in got if r.doc_id == k for w in range(r.start, r.end)} | {w for r in got if r.other_id == k for w in range(r.other_start, r.other_end)}
+        assert held >= set(range(10, len(text.split()) - 10)), k
+    assert len(got) < 1_000
+
+
+def test_words_of_all_pairs_of_all_seeds_are_in_a_passage(frame):
+    draw = random.Random(12)
+    shared = [prose(1700 + k, 70) for k in range(4)]
+    texts = []
+    for k in range(90):
+        parts = [prose(1800 + k, draw.randrange(5, 40))]
+        for _ in range(draw.randrange(1, 3)):
+            words = draw.choice(shared).split()
+            begin = draw.randrange(25)
+            words = [f"new{draw.randrange(9)}" if draw.random() < 0.04 else w for w in words[begin : begin + draw.randrange(20, 70)]]
+            parts += [" ".join(words), prose(draw.randrange(10**6), draw.randrange(5, 30))]
+        texts.append(" ".join(parts))
+    df = frame(list(enumerate(texts)))
+
+    def held(rows):
+        sides = [(r.doc_id, r.start, r.end) for r in rows] + [(r.other_id, r.other_start, r.other_end) for r in rows]
+        return {(d, w) for d, a, b in sides for w in range(a, b)}
+
+    shared_seeds = P.shared_seeds(P.seeds(df, P.KMER, P.WINDOW))
+    all_pairs = P._all_pairs(shared_seeds, P.KMER)
+    wanted = held(P._aligned(df, all_pairs, P.KMER, P.WINDOW, P.LEAST_WORDS, P.LEAST_SHARE).collect())
+    first = held(P._aligned(df, P._matches(df, shared_seeds, P.KMER, P.WINDOW, 50, P.PLAIN), P.KMER, P.WINDOW, 50, P.LEAST_SHARE).collect())
+    got = held(P.passages(df).collect())
+    print(len(wanted), len(wanted - first), len(wanted - got))
+    assert len(wanted) > 1_000 and len(wanted - got) <= 0.01 * len(wanted)
+
+
+def test_pairs_of_seeds_that_no_passage_holds():
+    import numpy as np
+
+    places, hashes, frequent = np.array([0, 30, 9, 100, 101]), np.array([5, 7, 6, 8, 8]), np.array([True, False, False, False, True])
+    key, a, b, left = P.seed_pairs(places, hashes, frequent, [(0, 15)], 6, 8, 50)
+    assert list(zip(a.tolist(), b.tolist(), left.tolist())) == [(0, 9, False), (0, 30, True)] and len(set(key.tolist())) == 2
+    assert P.seed_pairs(places, hashes, frequent, [], 6, 8, 50)[3].all() and not len(P.seed_pairs(places[:0], hashes[:0], frequent[:0], [], 6, 8, 50)[0])
+    assert P._apart(np.array([1, 1, 2, 1, 1]), np.array([0, 5, 6, 40, 45]), 39).tolist() == [0, 2, 3, 4]
